@@ -13,13 +13,23 @@ from incident_engine.sources.messages import as_messages
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
+# Columns of the given tables that the feeds read.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
+
 # feed name -> (tables it reads, query)
 FEEDS: dict[str, tuple[tuple[str, ...], str]] = {
     "inc": (("lineitem",), """
         select l_orderkey, cast(l_linenumber as bigint) as line_no, l_shipdate as occurred_at,
           cast(l_suppkey % 20 as varchar(10)) as area,
-          cast(-87.94 + ((l_partkey*37 + l_linenumber*11) % 200)*0.00042 + 0.0001 as double) as lon,
-          cast(41.64 + ((l_suppkey*53 + l_linenumber*7) % 200)*0.00038 + 0.0001 as double) as lat,
+          -87.94e0 + ((l_partkey*37 + l_linenumber*11) % 200)*0.00042e0 + 0.0001e0 as lon,
+          41.64e0 + ((l_suppkey*53 + l_linenumber*7) % 200)*0.00038e0 + 0.0001e0 as lat,
           cast(l_partkey % 8 as bigint) as cat_no
         from {lineitem}"""),
     "chi": (("events",), """
@@ -68,8 +78,8 @@ FEEDS: dict[str, tuple[tuple[str, ...], str]] = {
             when 5 then 'SHOPLIFTING-GRAND THEFT ($950.01 & OVER)' when 6 then 'PANDERING'
             when 7 then 'ARSON' when 8 then 'VANDALISM' end as crime,
           cast(user_id % 21 as varchar(10)) as area,
-          cast(33.7 + (user_id % 100)*0.005 as double) as lat,
-          cast(-118.6 + (event_id % 100)*0.005 as double) as lon, event_type as premis,
+          33.7e0 + (user_id % 100)*0.005e0 as lat,
+          -118.6e0 + (event_id % 100)*0.005e0 as lon, event_type as premis,
           case when event_id % 3 = 0 then 'AO' else 'IC' end as status
         from {events}"""),
     "rate": (("lineitem",), """
@@ -83,12 +93,12 @@ FEEDS: dict[str, tuple[tuple[str, ...], str]] = {
     # union of the boxes [xa,xc]x[ya,yb] and [xa,xb]x[ya,yc].
     "precincts": (("supplier", "nation"), """
         select n_name as force, concat('Precinct ', cast(s_suppkey as varchar(20))) as neighbourhood,
-          cast(-87.940005 + (s_suppkey % 40)*0.02131 as double) as xa,
-          cast(-87.940005 + (s_suppkey % 40)*0.02131 + 0.00673 as double) as xb,
-          cast(-87.940005 + (s_suppkey % 40)*0.02131 + 0.01513 as double) as xc,
-          cast(41.639995 + cast(floor(s_suppkey / 40) as bigint)*0.01873 as double) as ya,
-          cast(41.639995 + cast(floor(s_suppkey / 40) as bigint)*0.01873 + 0.00591 as double) as yb,
-          cast(41.639995 + cast(floor(s_suppkey / 40) as bigint)*0.01873 + 0.01331 as double) as yc
+          -87.940005e0 + (s_suppkey % 40)*0.02131e0 as xa,
+          -87.940005e0 + (s_suppkey % 40)*0.02131e0 + 0.00673e0 as xb,
+          -87.940005e0 + (s_suppkey % 40)*0.02131e0 + 0.01513e0 as xc,
+          41.639995e0 + floor(s_suppkey / 40)*0.01873e0 as ya,
+          41.639995e0 + floor(s_suppkey / 40)*0.01873e0 + 0.00591e0 as yb,
+          41.639995e0 + floor(s_suppkey / 40)*0.01873e0 + 0.01331e0 as yc
         from {supplier} join {nation} on s_nationkey = n_nationkey"""),
 }
 
@@ -97,7 +107,7 @@ PRECINCT = ["force", "neighbourhood"]
 
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables, query = FEEDS[name]
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    frames = {t: spark.read.schema(TABLES[t]).parquet(f"{sf_dir}/{t}.parquet") for t in tables}
     return spark.sql(query, **frames)
 
 

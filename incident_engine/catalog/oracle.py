@@ -238,7 +238,8 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "grid_cells_on_boundary": (("grid",), "select ix, iy from grid"),
     "grid_ids": (("grid",), "select grid_id, ix, iy from grid"),
     "boundary_extent": (("ext",), """
-        select x0 as xmin, y0 as ymin, x1 as xmax, y1 as ymax from ext"""),
+        select round(x0, 9) as xmin, round(y0, 9) as ymin, round(x1, 9) as xmax,
+          round(y1, 9) as ymax from ext"""),
     "boundary_poly_text": (("precincts",), _POLY),
     "hotspot_counts": (("counted",), """
         select grid_id, ix, iy, strftime(m, '%Y-%m') as month, n from counted"""),
@@ -263,9 +264,11 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "hotspot_rank": (("ranked",), """
         select grid_id, ix, iy, round(avg_tp, 6) as avg_tp, prev_n, rk from ranked"""),
     "hotspot_cells": (("ranked", "grid"), f"""
-        select grid_id, {_CORNERS} from grid where grid_id in (select grid_id from ranked)"""),
+        select grid_id, {_CORNERS} from grid
+        where grid_id in (select grid_id from ranked where rk <= {q.HOT_CELLS})"""),
     "hotspot_geojson": (("ranked", "grid"), f"""
-        select grid_id, {_CORNERS} from grid where grid_id in (select grid_id from ranked)"""),
+        select grid_id, {_CORNERS} from grid
+        where grid_id in (select grid_id from ranked where rk <= {q.HOT_CELLS})"""),
     "area_month_counts": (("areas",), "select area, year, month, crime_count from areas"),
     "rate_join_default": (("areas", "rate"), """
         select areas.area, areas.year, areas.month,

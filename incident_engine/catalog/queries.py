@@ -5,6 +5,7 @@ Ids and counts come out as bigint, dates and times as text, doubles rounded.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,11 +13,12 @@ from pyspark.sql import functions as F
 
 from incident_engine.catalog import feeds
 from incident_engine.catalog.feeds import PRECINCT, feed
-from incident_engine.functions import scores, text, timestamps
+from incident_engine.functions import text, timestamps
+from incident_engine.functions.geo import GridSpec
 from incident_engine.operators import counts, features, forecast, records, sets, spatial
 from incident_engine.plans import collect, hotspot, incidents
-from incident_engine.schemas import CHICAGO_RECORD, LA_RECORD, SEATTLE_RECORD, UK_RECORD
-from incident_engine.session import materialize, use_utc
+from incident_engine.schemas import CELL_SIZE, CHICAGO_RECORD, LA_RECORD, SEATTLE_RECORD, UK_RECORD
+from incident_engine.session import load_or_build, materialize, use_utc, workspace_dir
 from incident_engine.sinks import files as file_sinks
 from incident_engine.sinks import messages as message_sinks
 from incident_engine.sources import pull
@@ -30,7 +32,8 @@ MARK = "2024-01-20T00:00:00.000"
 CUTOFF = "2024-01-20 01:00:00"
 TOPICS = [f"{1996 + m // 12}-{m % 12 + 1:02d}" for m in range(36) if m != 22]
 COLLECT_MONTHS = ["1998-03", "1998-04", "1998-05"]
-COLLECT_CAP = 40
+COLLECT_CAP = 14
+HOT_CELLS = 40
 PIVOT_MONTHS = ["1998-01", "1998-02", "1998-03"]
 REQUEST_YEAR = 2000
 HORIZON = (2001, 6, 10)
@@ -117,10 +120,9 @@ def collect_worklist(spark, sf):
 
 @query
 def collect_in_polygon(spark, sf):
-    boundary = feeds.precinct_boundary(spark, sf)
     points = feed(spark, sf, "inc").withColumn("month", F.date_format("occurred_at", "yyyy-MM"))
-    grid = spatial.grid_over(boundary)
-    rows = collect.collect_in_polygons(points, boundary, grid, PRECINCT, cap=COLLECT_CAP)
+    grid, cover = _cover(spark, sf)
+    rows = collect.collect_in_polygons(points, cover, grid, PRECINCT, cap=COLLECT_CAP)
     return rows.groupBy(*PRECINCT, "month").agg(n_rows())
 
 
@@ -384,10 +386,35 @@ def encode_request(spark, sf):
 # Spatial
 
 
+# Grid and cover of the precincts, made once per session and data directory.
+_GRIDS: dict[tuple[str, str, float], GridSpec] = {}
+
+
+def _spec(spark, sf, step: float = CELL_SIZE) -> GridSpec:
+    key = (spark.sparkContext.applicationId, sf, step)
+    if key not in _GRIDS:
+        _GRIDS[key] = spatial.grid_over(feeds.precinct_boundary(spark, sf), step)
+    return _GRIDS[key]
+
+
+def _saved(spark, sf, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    folder = hashlib.sha256(sf.encode()).hexdigest()[:16]
+    return load_or_build(spark, f"{workspace_dir(spark)}/{name}-{folder}", build)
+
+
 def _grid(spark, sf):
-    boundary = feeds.precinct_boundary(spark, sf)
-    grid = spatial.grid_over(boundary)
-    return grid, spatial.grid_cells(boundary, grid, PRECINCT)
+    grid = _spec(spark, sf)
+    cells = _saved(spark, sf, "grid", lambda: spatial.grid_cells(
+        feeds.precinct_boundary(spark, sf), grid, PRECINCT))
+    return grid, cells
+
+
+def _cover(spark, sf):
+    """Polygon cover at a quarter of the analysis cell, so that most cells lie within."""
+    grid = _spec(spark, sf, CELL_SIZE / 4)
+    cover = _saved(spark, sf, "cover", lambda: spatial.polygon_cover(
+        feeds.precinct_boundary(spark, sf), grid, PRECINCT))
+    return grid, cover
 
 
 def _corners() -> list[Column]:
@@ -397,38 +424,41 @@ def _corners() -> list[Column]:
 @query
 def spatial_point_cell(spark, sf):
     grid, cells = _grid(spark, sf)
-    located = spatial.points_to_cells(feed(spark, sf, "inc"), materialize(cells, "grid"), grid)
+    located = spatial.points_to_cells(feed(spark, sf, "inc"), cells, grid)
     return located.groupBy("grid_id").agg(n_rows())
 
 
 @query
 def spatial_point_polygon(spark, sf):
-    boundary = feeds.precinct_boundary(spark, sf)
-    points = feed(spark, sf, "inc")
-    inside = spatial.points_in_polygons(points, boundary, spatial.grid_over(boundary), PRECINCT)
+    grid, cover = _cover(spark, sf)
+    inside = spatial.points_in_polygons(feed(spark, sf, "inc"), cover, grid)
     month = F.date_format("occurred_at", "yyyy-MM").alias("month")
     return inside.groupBy("neighbourhood", month).agg(F.count(F.lit(1)).alias("inside_n"))
 
 
 @query
 def grid_cells(spark, sf):
-    return _grid(spark, sf)[1].select("grid_id", "ix", "iy", *_corners())
+    cells = spatial.grid_cells(feeds.precinct_boundary(spark, sf), _spec(spark, sf), PRECINCT)
+    return cells.select("grid_id", "ix", "iy", *_corners())
 
 
 @query
 def grid_cells_on_boundary(spark, sf):
     boundary = feeds.precinct_boundary(spark, sf)
-    return spatial.cells_on_boundary(boundary, spatial.grid_over(boundary), PRECINCT)
+    return spatial.cells_on_boundary(boundary, _spec(spark, sf), PRECINCT)
 
 
 @query
 def grid_ids(spark, sf):
-    return _grid(spark, sf)[1].select("grid_id", "ix", "iy")
+    boundary = feeds.precinct_boundary(spark, sf)
+    cells = materialize(
+        spatial.cells_on_boundary(boundary, _spec(spark, sf), PRECINCT), "boundary-cells")
+    return spatial.number_cells(cells)
 
 
 @query
 def boundary_extent(spark, sf):
-    return spatial.boundary_extent(feeds.precinct_boundary(spark, sf))
+    return spatial.boundary_extent(feeds.precinct_boundary(spark, sf)).select(*_corners())
 
 
 def _polygon_texts(spark, sf) -> DataFrame:
@@ -519,8 +549,7 @@ def hotspot_rank(spark, sf):
 
 def _hot_cells(spark, sf) -> DataFrame:
     grid, cells = _grid(spark, sf)
-    cells = materialize(cells, "grid")
-    ranked = hotspot.HotSpotModel.fit(feed(spark, sf, "inc"), cells, grid).rank()
+    ranked = hotspot.HotSpotModel.fit(feed(spark, sf, "inc"), cells, grid).rank(HOT_CELLS)
     return hotspot.hot_cells(cells, ranked)
 
 

@@ -1,7 +1,7 @@
-"""Plane geometry on plain double columns.
+"""Plane geometry on plain double columns, as SQL expression text.
 
-An edge is a struct ``(x1, y1, x2, y2)``; a ring is an array of ``(x, y)``
-points whose first and last points are equal.
+A ring is an array of ``(x, y)`` points whose first and last points are equal;
+an edge is a struct ``(x1, y1, x2, y2)``.
 """
 
 from __future__ import annotations
@@ -9,10 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from incident_engine.functions.columns import ColumnLike, as_column
 from incident_engine.schemas import CELL_SIZE
 
 
@@ -34,52 +30,55 @@ class GridSpec:
     def ny(self) -> int:
         return ceil((self.ymax - self.ymin) / self.step)
 
-    def x_index(self, x: ColumnLike) -> Column:
-        return F.floor((as_column(x) - self.xmin) / self.step).cast("bigint")
+    @property
+    def width(self) -> str:
+        return f"{self.step!r}D"
+
+    def x_index(self, x: str) -> str:
+        return f"cast(floor(({x} - ({self.xmin!r}D)) / {self.width}) as bigint)"
 
-    def y_index(self, y: ColumnLike) -> Column:
-        return F.floor((as_column(y) - self.ymin) / self.step).cast("bigint")
+    def y_index(self, y: str) -> str:
+        return f"cast(floor(({y} - ({self.ymin!r}D)) / {self.width}) as bigint)"
 
-    def left(self, ix: ColumnLike) -> Column:
-        return self.xmin + as_column(ix) * F.lit(float(self.step))
+    def left(self, ix: str = "ix") -> str:
+        return f"({self.xmin!r}D + {ix} * {self.width})"
 
-    def bottom(self, iy: ColumnLike) -> Column:
-        return self.ymin + as_column(iy) * F.lit(float(self.step))
+    def bottom(self, iy: str = "iy") -> str:
+        return f"({self.ymin!r}D + {iy} * {self.width})"
 
-    def box(self, ix: ColumnLike, iy: ColumnLike) -> dict[str, Column]:
+    def box(self, ix: str = "ix", iy: str = "iy") -> dict[str, str]:
         x, y = self.left(ix), self.bottom(iy)
-        return {"xmin": x, "ymin": y, "xmax": x + self.step, "ymax": y + self.step}
-
-    def strictly_inside(self, x: ColumnLike, y: ColumnLike) -> Column:
-        """True when the point is off every edge of the cell that holds it."""
-        px, py = as_column(x), as_column(y)
-        b = self.box(self.x_index(px), self.y_index(py))
-        return (px > b["xmin"]) & (px < b["xmax"]) & (py > b["ymin"]) & (py < b["ymax"])
-
-
-def ring_edges(ring: ColumnLike) -> Column:
-    """Array of edges of a closed ring."""
-    r = as_column(ring)
-    count = F.size(r) - 1
-    starts = F.slice(r, F.lit(1), F.greatest(count, F.lit(0)))
-    ends = F.slice(r, F.lit(2), F.greatest(count, F.lit(0)))
-    return F.zip_with(
-        starts, ends,
-        lambda a, b: F.struct(
-            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-        ),
-    )
+        return {"xmin": x, "ymin": y, "xmax": f"({x} + {self.width})", "ymax": f"({y} + {self.width})"}
+
+    def columns_between(self, low: str, high: str) -> str:
+        """Cell columns ``low..high`` cut to the grid, or null when they miss it."""
+        return _indices(low, high, self.nx)
+
+    def rows_between(self, low: str, high: str) -> str:
+        return _indices(low, high, self.ny)
 
 
-def ray_crosses(edge: Column, px: ColumnLike, py: ColumnLike) -> Column:
-    """Does the ray from the point towards +x cross the edge (half-open rule)?"""
-    x, y = as_column(px), as_column(py)
-    x1, y1, x2, y2 = edge["x1"], edge["y1"], edge["x2"], edge["y2"]
-    # Only an edge that spans y is divided by its height, which is then not zero.
-    return F.when((y1 > y) != (y2 > y), x < (x2 - x1) * (y - y1) / (y2 - y1) + x1).otherwise(False)
+def _indices(low: str, high: str, count: int) -> str:
+    first, last = f"greatest({low}, 0L)", f"least({high}, {count - 1}L)"
+    return f"if({first} <= {last}, sequence({first}, {last}), null)"
 
 
-def point_in_edges(edges: ColumnLike, px: ColumnLike, py: ColumnLike) -> Column:
-    """Even-odd rule over the edges of all rings, so holes need no special case."""
-    crossed = F.size(F.filter(as_column(edges), lambda e: ray_crosses(e, px, py)))
-    return crossed % 2 == 1
+def ring_edges(ring: str = "ring") -> str:
+    """Array of the edges of a closed ring."""
+    count = f"greatest(size({ring}) - 1, 0)"
+    return (
+        f"zip_with(slice({ring}, 1, {count}), slice({ring}, 2, {count}), (a, b) -> "
+        "named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))"
+    )
+
+
+def inside_edges(edges: str, x: str, y: str) -> str:
+    """Even-odd rule over the edges of all rings, so holes need no special case.
+
+    A ray runs from the point towards +x. Only an edge that spans y (half open)
+    is divided by its height, which is then not zero.
+    """
+    return (
+        f"size(filter({edges}, e -> if((e.y1 > {y}) != (e.y2 > {y}), "
+        f"{x} < (e.x2 - e.x1) * ({y} - e.y1) / (e.y2 - e.y1) + e.x1, false))) % 2 = 1"
+    )

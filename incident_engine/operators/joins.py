@@ -19,13 +19,12 @@ _SALT = "__salt"
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Is the frame proven to be within the bound? Reads at most ``max_rows + 1`` rows."""
+    """Is the frame proven to be within the bound? One pass of partial sums over it.
+
+    The frame is read here and again by the join: hand in a written table.
+    """
     text_bytes = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(text_bytes), F.lit(0)))
-        .first()
-    )
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(text_bytes), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 

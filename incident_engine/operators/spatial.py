@@ -1,29 +1,27 @@
 """Grids over boundaries, points to cells, points to polygons.
 
-A boundary is a frame with a polygon key and a closed ``ring`` per row (see
-``scan_geojson``). Cell indices make every spatial join an equi join.
+A boundary is a frame with polygon key columns and a closed ``ring`` per row
+(see ``scan_geojson``). Cell indices make every spatial join an equi join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from incident_engine.functions.geo import GridSpec, point_in_edges, ring_edges
+from incident_engine.functions.geo import GridSpec, inside_edges, ring_edges
 from incident_engine.operators.joins import join_keyed
 from incident_engine.schemas import CELL_SIZE
+from incident_engine.session import materialize
 
 _COLUMN_BLOCK = 1024
 
 
 def boundary_extent(boundary: DataFrame) -> DataFrame:
     """One row: least and greatest x and y over all ring points."""
-    xs, ys = F.col("ring.x"), F.col("ring.y")
-    return boundary.agg(
-        F.min(F.array_min(xs)).alias("xmin"), F.min(F.array_min(ys)).alias("ymin"),
-        F.max(F.array_max(xs)).alias("xmax"), F.max(F.array_max(ys)).alias("ymax"),
-    )
+    return boundary.selectExpr(
+        "min(array_min(ring.x)) as xmin", "min(array_min(ring.y)) as ymin",
+        "max(array_max(ring.x)) as xmax", "max(array_max(ring.y)) as ymax")
 
 
 def grid_over(boundary: DataFrame, step: float = CELL_SIZE) -> GridSpec:
@@ -35,77 +33,64 @@ def grid_over(boundary: DataFrame, step: float = CELL_SIZE) -> GridSpec:
 
 
 def _edges(boundary: DataFrame, *keys: str) -> DataFrame:
-    return boundary.select(*keys, F.inline(ring_edges("ring")))
-
+    return boundary.selectExpr(*keys, f"inline({ring_edges()})")
 
-def _span(low: Column, high: Column, count: int) -> Column:
-    """Indices ``low..high`` cut to the grid, or nothing when they miss it."""
-    first = F.greatest(low, F.lit(0).cast("bigint"))
-    last = F.least(high, F.lit(count - 1).cast("bigint"))
-    return F.when(first <= last, F.sequence(first, last))
 
+def _edge_pieces(boundary: DataFrame, grid: GridSpec, *keys: str) -> DataFrame:
+    """Edges cut per grid column and row: ``keys, ix, iy``, one per closed cell met.
 
-def _cells_on_edges(boundary: DataFrame, grid: GridSpec) -> DataFrame:
-    """Cells whose closed box meets an edge of any ring.
-
-    Each edge is cut per grid column first, so a long slanted edge gives work
-    in line with the cells it meets, not with its bounding box.
+    An edge is cut by columns first, so a long slanted one gives work in line
+    with the cells it meets, not with its bounding box.
     """
-    x_low, x_high = F.least("x1", "x2"), F.greatest("x1", "x2")
-    columns = _edges(boundary).withColumn(
-        "ix", F.explode(_span(grid.x_index(x_low) - 1, grid.x_index(x_high) + 1, grid.nx)))
-    left = grid.left("ix")
-    right = left + grid.step
-    columns = columns.filter((x_low <= right) & (x_high >= left))
-
-    def height_at(x: Column) -> Column:
-        slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-        return F.when(x == F.col("x1"), F.col("y1")).when(x == F.col("x2"), F.col("y2")).otherwise(
-            F.col("y1") + (x - F.col("x1")) * slope)
-
-    enter, leave = height_at(F.greatest(x_low, left)), height_at(F.least(x_high, right))
-    upright = F.col("x1") == F.col("x2")
-    pieces = columns.select(
-        "ix",
-        F.when(upright, F.least("y1", "y2")).otherwise(F.least(enter, leave)).alias("low"),
-        F.when(upright, F.greatest("y1", "y2")).otherwise(F.greatest(enter, leave)).alias("high"),
+    left, right = grid.left(), grid.box()["xmax"]
+    bottom, top = grid.bottom(), grid.box()["ymax"]
+    low_x, high_x = "least(x1, x2)", "greatest(x1, x2)"
+    columns = grid.columns_between(f"{grid.x_index(low_x)} - 1", f"{grid.x_index(high_x)} + 1")
+    rows = grid.rows_between(f"{grid.y_index('low')} - 1", f"{grid.y_index('high')} + 1")
+
+    def height_at(x: str) -> str:
+        return (f"case {x} when x1 then y1 when x2 then y2 "
+                f"else y1 + ({x} - x1) * ((y2 - y1) / (x2 - x1)) end")
+
+    enter, leave = height_at(f"greatest({low_x}, {left})"), height_at(f"least({high_x}, {right})")
+    return (
+        _edges(boundary, *keys)
+        .selectExpr(*keys, "x1", "y1", "x2", "y2", f"explode({columns}) as ix")
+        .where(f"{low_x} <= {right} and {high_x} >= {left}")
+        .selectExpr(
+            *keys, "ix",
+            f"if(x1 = x2, least(y1, y2), least({enter}, {leave})) as low",
+            f"if(x1 = x2, greatest(y1, y2), greatest({enter}, {leave})) as high")
+        .selectExpr(*keys, "ix", "low", "high", f"explode({rows}) as iy")
+        .where(f"low <= {top} and high >= {bottom}")
+        .select(*keys, "ix", "iy")
     )
-    cells = pieces.withColumn(
-        "iy", F.explode(_span(grid.y_index("low") - 1, grid.y_index("high") + 1, grid.ny)))
-    bottom = grid.bottom("iy")
-    return cells.filter(
-        (F.col("low") <= bottom + grid.step) & (F.col("high") >= bottom)
-    ).select("ix", "iy")
 
 
 def _cells_inside(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
     """Cells whose centre is inside a polygon, by even-odd spans of each grid row."""
-    half = F.lit(grid.step / 2)
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    rows = _edges(boundary, *keys).withColumn(
-        "iy", F.explode(_span(grid.y_index(low), grid.y_index(high), grid.ny)))
-    middle = grid.bottom("iy") + half
-    crossings = rows.filter((F.col("y1") > middle) != (F.col("y2") > middle)).select(
-        *keys, "iy",
-        ((F.col("x2") - F.col("x1")) * (middle - F.col("y1")) / (F.col("y2") - F.col("y1"))
-         + F.col("x1")).alias("x"),
-    )
-    in_row = Window.partitionBy(*keys, "iy").orderBy("x")
-    spans = (
-        crossings.select("iy", "x", F.lead("x").over(in_row).alias("until"),
-                         F.row_number().over(in_row).alias("nth"))
-        .filter(F.col("nth") % 2 == 1)
+    middle, centre = f"({grid.bottom()} + {grid.width} / 2)", f"({grid.left()} + {grid.width} / 2)"
+    rows = grid.rows_between(grid.y_index("least(y1, y2)"), grid.y_index("greatest(y1, y2)"))
+    row = f"over (partition by {', '.join(keys)}, iy order by x)"
+    columns = grid.columns_between(grid.x_index("x"), grid.x_index("until"))
+    return (
+        _edges(boundary, *keys)
+        .selectExpr(*keys, "x1", "y1", "x2", "y2", f"explode({rows}) as iy")
+        .where(f"(y1 > {middle}) != (y2 > {middle})")
+        .selectExpr(*keys, "iy", f"(x2 - x1) * ({middle} - y1) / (y2 - y1) + x1 as x")
+        .selectExpr(*keys, "iy", "x", f"lead(x) {row} as until", f"row_number() {row} as nth")
+        .where("nth % 2 = 1")
+        .selectExpr(*keys, "iy", "x", "until", f"explode({columns}) as ix")
+        .where(f"{centre} > x and {centre} < until")
+        .select(*keys, "ix", "iy")
     )
-    cells = spans.withColumn(
-        "ix", F.explode(_span(grid.x_index("x"), grid.x_index("until"), grid.nx)))
-    centre = grid.left("ix") + half
-    return cells.filter((centre > F.col("x")) & (centre < F.col("until"))).select("ix", "iy")
 
 
 def cells_on_boundary(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
     """Grid cells ``(ix, iy)`` that touch any polygon; ``keys`` name a polygon."""
-    touching = _cells_on_edges(boundary, grid)
-    return touching.union(_cells_inside(boundary, grid, keys)).distinct()
+    touching = _edge_pieces(boundary, grid).union(
+        _cells_inside(boundary, grid, keys).select("ix", "iy"))
+    return touching.distinct()
 
 
 def number_cells(cells: DataFrame) -> DataFrame:
@@ -113,44 +98,45 @@ def number_cells(cells: DataFrame) -> DataFrame:
 
     Cells are numbered within their column; a running total over the columns
     gives each its start. Columns add up in blocks, so the one ordered pass
-    over everything sees one row per block of columns.
+    over everything sees one row per block of columns. ``cells`` is read three
+    times: hand in a written table.
     """
-    in_column = Window.partitionBy("ix").orderBy("iy")
-    placed = cells.withColumn("nth", F.row_number().over(in_column).cast("bigint"))
-    block = F.floor(F.col("ix") / _COLUMN_BLOCK).cast("bigint").alias("block")
-    totals = cells.groupBy("ix").agg(F.count(F.lit(1)).alias("n")).select("ix", "n", block)
-    before = (Window.unboundedPreceding, -1)
-    blocks = totals.groupBy("block").agg(F.sum("n").alias("n")).select(
-        "block",
-        F.coalesce(F.sum("n").over(Window.orderBy("block").rowsBetween(*before)), F.lit(0))
-        .alias("blocks_before"),
+    before = "rows between unbounded preceding and 1 preceding"
+    totals = cells.groupBy("ix").count().withColumn(
+        "block", F.expr(f"cast(floor(ix / {_COLUMN_BLOCK}) as bigint)"))
+    blocks = totals.groupBy("block").agg(F.sum("count").alias("total")).selectExpr(
+        "block", f"coalesce(sum(total) over (order by block {before}), 0) as earlier")
+    starts = totals.join(blocks, "block").selectExpr(
+        "ix", "earlier + coalesce(sum(count) over "
+              f"(partition by block order by ix {before}), 0) as start")
+    return (
+        cells.selectExpr("*", "row_number() over (partition by ix order by iy) as nth")
+        .join(starts, "ix")
+        .selectExpr("start + nth - 1 as grid_id", *cells.columns)
     )
-    within = Window.partitionBy("block").orderBy("ix").rowsBetween(*before)
-    starts = totals.join(blocks, "block").select(
-        "ix",
-        (F.col("blocks_before") + F.coalesce(F.sum("n").over(within), F.lit(0))).alias("start"),
-    )
-    return placed.join(starts, "ix").select(
-        (F.col("start") + F.col("nth") - 1).alias("grid_id"), *cells.columns)
 
 
 def grid_cells(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
     """The analysis grid: kept cells with their id and box. Write it once and reuse it."""
-    cells = number_cells(cells_on_boundary(boundary, grid, keys))
-    return cells.withColumns(grid.box("ix", "iy"))
+    cells = materialize(cells_on_boundary(boundary, grid, keys), "boundary-cells")
+    corners = [f"{edge} as {name}" for name, edge in grid.box().items()]
+    return number_cells(cells).selectExpr("*", *corners)
+
+
+def known_position(x: str = "lon", y: str = "lat") -> Column:
+    """Zero stands for an unknown coordinate. Nulls pass and meet no cell later."""
+    return F.expr(f"{x} is distinct from 0D and {y} is distinct from 0D")
 
 
 def with_cell_index(points: DataFrame, grid: GridSpec, x: str = "lon", y: str = "lat") -> DataFrame:
     """Add ``ix, iy``: null when a coordinate is null or zero, or lies on a cell edge."""
-    usable = known_position(x, y) & grid.strictly_inside(x, y)
+    ix, iy = grid.x_index(x), grid.y_index(y)
+    box = grid.box(ix, iy)
+    strictly = (f"{x} > {box['xmin']} and {x} < {box['xmax']} "
+                f"and {y} > {box['ymin']} and {y} < {box['ymax']}")
+    usable = known_position(x, y) & F.expr(strictly)
     return points.withColumns({
-        "ix": F.when(usable, grid.x_index(x)), "iy": F.when(usable, grid.y_index(y)),
-    })
-
-
-def known_position(x: str = "lon", y: str = "lat") -> Column:
-    """Zero stands for an unknown coordinate. Nulls pass and meet no cell later."""
-    return ~F.col(x).eqNullSafe(F.lit(0.0)) & ~F.col(y).eqNullSafe(F.lit(0.0))
+        "ix": F.when(usable, F.expr(ix)), "iy": F.when(usable, F.expr(iy))})
 
 
 def points_to_cells(points: DataFrame, cells: DataFrame, grid: GridSpec,
@@ -164,31 +150,32 @@ def points_to_cells(points: DataFrame, cells: DataFrame, grid: GridSpec,
 def polygon_cover(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
     """Polygons cut into grid cells: ``keys, ix, iy, edges``.
 
-    A cell keeps only the edges a ray from one of its points towards +x can
-    cross; cells with none are outside for certain and are left out.
+    A cell that no edge meets is inside as a whole and carries no edges. A cell
+    on the rim keeps the edges that a ray from one of its points towards +x can
+    cross. Write it once and reuse it.
     """
-    edge = F.struct("x1", "y1", "x2", "y2")
-    reach = _edges(boundary, *keys).select(
-        *keys, edge.alias("edge"),
-        F.explode(_span(grid.y_index(F.least("y1", "y2")), grid.y_index(F.greatest("y1", "y2")),
-                        grid.ny)).alias("iy"),
+    rim = _edge_pieces(boundary, grid, *keys).distinct()
+    whole = (
+        _cells_inside(boundary, grid, keys)
+        .join(rim, [*keys, "ix", "iy"], "left_anti")
+        .selectExpr(*keys, "ix", "iy", "null as edges")
     )
-    rows = reach.groupBy(*keys, "iy").agg(
-        F.collect_list("edge").alias("edges"),
-        F.min(F.least("edge.x1", "edge.x2")).alias("near"),
-        F.max(F.greatest("edge.x1", "edge.x2")).alias("far"),
+    rows = grid.rows_between(f"{grid.y_index('least(y1, y2)')} - 1",
+                             f"{grid.y_index('greatest(y1, y2)')} + 1")
+    by_row = (
+        _edges(boundary, *keys)
+        .selectExpr(*keys, f"explode({rows}) as iy", "struct(x1, y1, x2, y2) as edge")
+        .groupBy(*keys, "iy").agg(F.collect_list("edge").alias("all_edges"))
     )
-    cells = rows.withColumn(
-        "ix", F.explode(_span(grid.x_index("near"), grid.x_index("far"), grid.nx)))
-    left = grid.left("ix")
-    ahead = F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left)
-    return cells.select(*keys, "ix", "iy", ahead.alias("edges")).filter(F.size("edges") > 0)
+    ahead = f"filter(all_edges, e -> greatest(e.x1, e.x2) >= {grid.left()})"
+    on_rim = rim.join(by_row, [*keys, "iy"]).selectExpr(*keys, "ix", "iy", f"{ahead} as edges")
+    return on_rim.unionByName(whole)
 
 
-def points_in_polygons(points: DataFrame, boundary: DataFrame, grid: GridSpec, keys: list[str],
+def points_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec,
                        x: str = "lon", y: str = "lat", broadcast: bool | None = None) -> DataFrame:
-    """Inner join of points with the polygons that hold them; adds ``keys``."""
-    cover = polygon_cover(boundary, grid, keys)
-    located = points.withColumns({"ix": grid.x_index(x), "iy": grid.y_index(y)})
+    """Inner join of points with the polygons that hold them; adds the cover's keys."""
+    located = points.withColumns({"ix": F.expr(grid.x_index(x)), "iy": F.expr(grid.y_index(y))})
     pairs = join_keyed(located, cover, ["ix", "iy"], "inner", broadcast=broadcast)
-    return pairs.filter(point_in_edges("edges", x, y)).drop("ix", "iy", "edges")
+    inside = f"edges is null or {inside_edges('edges', x, y)}"
+    return pairs.where(inside).drop("ix", "iy", "edges")

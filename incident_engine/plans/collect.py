@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from incident_engine.functions import text
 from incident_engine.functions.geo import GridSpec
-from incident_engine.operators.joins import join_keyed
+from incident_engine.operators.joins import fits_broadcast, join_keyed
 from incident_engine.operators.spatial import points_in_polygons
 from incident_engine.schemas import POLYGON_CAP
+from incident_engine.session import materialize
 
 
 def worklist(forces: DataFrame, neighbourhoods: DataFrame, months: list[str]) -> DataFrame:
@@ -31,19 +32,22 @@ def requests(work: DataFrame, polygons: DataFrame) -> DataFrame:
     )
 
 
-def collect_in_polygons(points: DataFrame, boundary: DataFrame, grid: GridSpec, keys: list[str],
+def collect_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec, keys: list[str],
                         month: str = "month", cap: int = POLYGON_CAP, x: str = "lon",
-                        y: str = "lat", broadcast: bool | None = None) -> DataFrame:
+                        y: str = "lat") -> DataFrame:
     """Incidents inside each polygon and month; a pair with more than ``cap`` yields none.
 
-    Sizes are counted first, from coordinates and month alone and with partial
-    sums per task. Pairs over the cap, the only large groups, are then kept out
-    by a join, so no group is ever gathered in one place.
+    ``cover`` is a written ``polygon_cover``. Sizes are counted first, from
+    coordinates and month alone and with partial sums per task, and written.
+    Pairs over the cap, the only large groups, are then kept out by a join, so
+    no group is ever gathered in one place.
     """
-    def inside(rows: DataFrame) -> DataFrame:
-        return points_in_polygons(rows, boundary, grid, keys, x, y, broadcast)
-
+    small = fits_broadcast(cover)
     pair = [*keys, month]
-    sizes = inside(points.select(x, y, month)).groupBy(*pair).agg(F.count(F.lit(1)).alias("hits"))
-    within_cap = sizes.filter(F.col("hits") <= cap).select(*pair)
-    return join_keyed(inside(points), within_cap, pair, "left_semi")
+    sizes = (
+        points_in_polygons(points.select(x, y, month), cover, grid, x, y, small)
+        .groupBy(*pair).agg(F.count(F.lit(1)).alias("hits"))
+    )
+    within_cap = materialize(sizes.filter(F.col("hits") <= cap).select(*pair), "polygon-months")
+    inside = points_in_polygons(points, cover, grid, x, y, small)
+    return join_keyed(inside, within_cap, pair, "left_semi")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,5 +57,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     scan then runs once, the lineage is cut, and a lost executor costs nothing.
     """
     path = os.path.join(workspace_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return load_or_build(df.sparkSession, path, lambda: df)
+
+
+def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``, built and written first when no finished one is there."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return spark.read.parquet(path)
