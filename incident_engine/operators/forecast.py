@@ -91,26 +91,25 @@ def fit_trend_season(split: DataFrame) -> DataFrame:
     )
 
 
-def with_model(requests: DataFrame, models: DataFrame, marker: str) -> DataFrame:
-    """Join requests to the model of their area; an area without one is an error.
+def _or_error(known: Column, value: Column, message: Column) -> Column:
+    """``value``, or a failed job where ``known`` is null."""
+    return F.when(known.isNull(), F.raise_error(message).cast("double")).otherwise(value)
 
-    ``marker`` names a model column that is never null.
-    """
-    unknown = F.raise_error(F.concat(F.lit("no model for area "), F.col("AREA")))
-    joined = requests.join(models, "AREA", "left")
-    return joined.withColumn(marker, F.coalesce(
-        F.col(marker), unknown.cast(models.schema[marker].dataType)))
+
+def _answer(requests: DataFrame, joined: DataFrame, yhat: Column) -> DataFrame:
+    """Requests with their prediction; an area without a model is an error."""
+    no_model = F.concat(F.lit("no model for area "), F.col("AREA"))
+    return joined.select(*requests.columns, _or_error(F.col("origin"), yhat, no_model).alias("yhat"))
 
 
 def predict_trend_season(requests: DataFrame, models: DataFrame) -> DataFrame:
     """Add ``yhat`` to requests ``AREA, year, month``."""
     require_columns(requests, ["AREA", "year", "month"])
-    joined = with_model(requests, models, "origin")
     t = F.col("year") * 12 + F.col("month") - F.col("origin")
     trend = F.col("intercept") + F.col("slope") * t
     season = F.col("season")[F.col("month").cast("int")]
-    yhat = _trend_times_season(trend, season)
-    return joined.select(*[F.col(c) for c in requests.columns], yhat.alias("yhat"))
+    joined = requests.join(models, "AREA", "left")
+    return _answer(requests, joined, _trend_times_season(trend, season))
 
 
 def horizon(models: DataFrame, start_year: int, start_month: int, months: int,
@@ -187,19 +186,15 @@ def predict_ridge(requests: DataFrame, models: DataFrame) -> DataFrame:
     A missing rate is an error rather than a silent null.
     """
     require_columns(requests, ["AREA", "year", "month", "unemployment_rate"])
-    ds = timestamps.first_of_month("year", "month")
-    missing = F.raise_error(F.lit("a request has no unemployment_rate")).cast("double")
-    ready = requests.withColumn("ds", ds).withColumns({
-        **timestamps.calendar_features("ds"),
-        "unemployment_rate": F.coalesce("unemployment_rate", missing),
-    })
-    asked = ready.select(*requests.columns, ridge_inputs().alias("x"))
-    joined = with_model(asked, models, "origin")
+    ready = requests.withColumn("ds", timestamps.first_of_month("year", "month"))
+    ready = ready.withColumns(timestamps.calendar_features("ds"))
+    joined = ready.select(*requests.columns, ridge_inputs().alias("x")).join(models, "AREA", "left")
     scaled = F.zip_with(
         F.zip_with("x", "center", lambda a, c: a - c), "scale", lambda d, s: d / s)
     deviation = F.aggregate(
         F.zip_with(scaled, "weight", lambda z, w: z * w), F.lit(0.0), lambda acc, v: acc + v)
     t = F.col("year") * 12 + F.col("month") - F.col("origin")
     trend = F.col("intercept") + F.col("slope") * t
-    yhat = scores.at_least_zero(trend * (1 + deviation))
-    return joined.select(*[F.col(c) for c in requests.columns], yhat.alias("yhat"))
+    yhat = _or_error(F.col("unemployment_rate"), scores.at_least_zero(trend * (1 + deviation)),
+                     F.lit("a request has no unemployment_rate"))
+    return _answer(requests, joined, yhat)

@@ -45,7 +45,6 @@ def join_keyed(large: DataFrame, keyed: DataFrame, keys: list[str], how: str = "
     # Row content plus partition number: a rerun task gives each row its old
     # salt, and equal rows of different partitions still part.
     spread = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts))
-    repeated = keyed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-                                .cast("bigint"))
-    salted = large.withColumn(_SALT, spread.cast("bigint"))
+    repeated = keyed.withColumn(_SALT, F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
+    salted = large.withColumn(_SALT, spread)
     return salted.join(repeated, [*keys, _SALT], how).drop(_SALT)

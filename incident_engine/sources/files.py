@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _EXTRA = "__beyond_last_column"
-_ABSENT = "\u0001"
+_LINE = "__line"
 
 
 def scan_csv(spark: SparkSession, path: str, schema=None, **options: str) -> DataFrame:
@@ -23,20 +23,25 @@ def scan_csv_skip_long(spark: SparkSession, path: str, columns: list[str] | None
     """CSV as text columns; lines with more fields than the header are left out.
 
     Short lines are kept, their missing fields null. Empty fields are null too.
-    A column past the last one tells the two apart: absent fields read as null
-    there, and any field that is present, even an empty one, does not.
+    The scan asks for one column more than there is, so that Spark hands out
+    the text of every line with another number of fields; the separators
+    outside quotes then tell short and exact lines from long ones.
     """
     if columns is None:
         columns = spark.read.option("header", "true").option("escape", '"').csv(path).columns
-    ddl = ", ".join(f"`{c}` string" for c in [*columns, _EXTRA])
+    ddl = ", ".join(f"`{c}` string" for c in [*columns, _EXTRA, _LINE])
     raw = (
         spark.read.schema(ddl)
-        .options(header="true", enforceSchema="true", escape='"', multiLine=str(multi_line).lower(),
-                 nullValue=_ABSENT, emptyValue="")
+        .options(header="true", enforceSchema="true", escape='"', columnPruning="false",
+                 multiLine=str(multi_line).lower(), columnNameOfCorruptRecord=_LINE)
         .csv(path)
     )
-    kept = raw.filter(F.col(_EXTRA).isNull())
-    return kept.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
+    unquoted = F.regexp_replace(_LINE, '"([^"]|"")*"', "")
+    separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(",")))
+    # A line without text has exactly one field too many.
+    fits = F.col(_LINE).isNotNull() & F.col(_EXTRA).isNull() & (separators < len(columns))
+    return raw.filter(fits).select(
+        *[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
