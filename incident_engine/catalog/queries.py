@@ -212,7 +212,8 @@ def align_columns(spark, sf):
 
 
 def _uk(spark, sf) -> DataFrame:
-    return records.parse_records(feeds.uk_messages(spark, sf), UK_RECORD)
+    return records.parse_records(
+        feeds.uk_messages(spark, sf), UK_RECORD, fields=records.UK_INCIDENT_FIELDS)
 
 
 def _unified_out(df: DataFrame) -> DataFrame:
@@ -241,7 +242,8 @@ def uk_district_view(spark, sf):
 @query
 def la_normalize(spark, sf):
     messages = message_sinks.table_json(feeds.la_table(spark, sf))
-    return _unified_out(records.la_incidents(records.parse_records(messages, LA_RECORD)))
+    return _unified_out(records.la_incidents(records.parse_records(
+        messages, LA_RECORD, fields=records.LA_INCIDENT_FIELDS)))
 
 
 @query

@@ -10,7 +10,10 @@ from incident_engine.functions.columns import ColumnLike, as_column
 
 def strip_float_suffix(c: ColumnLike) -> Column:
     """``'12.0'`` to ``'12'``: ids that were once rendered from a float."""
-    return F.regexp_replace(as_column(c).cast("string"), r"\.0$", "")
+    text = as_column(c).cast("string")
+    suffix = F.lit(".0")
+    bare = F.left(text, F.length(text) - F.length(suffix))
+    return F.when(F.endswith(text, suffix), bare).otherwise(text)
 
 
 def to_double(c: ColumnLike) -> Column:

@@ -45,8 +45,10 @@ def parse_24h_marked(c: ColumnLike) -> Column:
     return F.try_to_timestamp(bare, F.lit("M/d/yyyy H:m:s"))
 
 
-# Date forms tried in turn by the forecaster's cleaning step.
+# Date forms tried in turn: by the forecaster's cleaning step, and where a file
+# may hold either of the other two.
 FORECAST_DATE_FORMS = (parse_24h_marked, parse_iso)
+FILE_DATE_FORMS = (parse_iso, parse_12h)
 
 
 def parse_first(c: ColumnLike, forms: Iterable = FORECAST_DATE_FORMS) -> Column:

@@ -38,9 +38,9 @@ def counts_on_grid(named: DataFrame) -> DataFrame:
         "grid_id", "ix", "iy", "month", "n")
 
 
-def latest_time(counts: DataFrame) -> Column:
-    """Latest date of the input, as a scalar subquery."""
-    return counts.agg(F.max("last_at")).scalar()
+def latest_month(counts: DataFrame) -> Column:
+    """Month of the latest date of the input, as a scalar subquery."""
+    return counts.agg(timestamps.month_start(F.max("last_at"))).scalar()
 
 
 def month_axis(counts: DataFrame, calendar: bool = False) -> Column:

@@ -52,12 +52,15 @@ def with_rate(counts: DataFrame, rate: DataFrame | None, default: float = DEFAUL
     """Outside rate (percent) by area and month; the default where there is none.
 
     Both sides hold one row per area and month or close to it, so Spark picks
-    the join; duplicate rate keys repeat rows.
+    the join; duplicate rate keys repeat rows. The rate's keys take the types
+    of the counts, which then stay where their aggregation left them.
     """
     if rate is None:
         return counts.withColumn("unemployment_rate", F.lit(default))
-    keys = ["year", "month", "AREA"]
-    joined = counts.join(rate.select(*keys, "unemployment_rate"), keys, "left")
+    keys = ["AREA", "year", "month"]
+    typed = rate.select(*[F.col(k).cast(counts.schema[k].dataType).alias(k) for k in keys],
+                        "unemployment_rate")
+    joined = counts.join(typed, keys, "left")
     filled = F.coalesce("unemployment_rate", F.lit(default))
     return joined.withColumn("unemployment_rate", filled)
 

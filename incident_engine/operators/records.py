@@ -26,20 +26,32 @@ from incident_engine.schemas import (
 
 BAD_ROW_POLICIES = ("keep", "drop", "fail")
 
+# Record fields that the merged incident table reads.
+UK_INCIDENT_FIELDS = ["category", "location_type", "location", "outcome_status", "month"]
+LA_INCIDENT_FIELDS = ["DATE OCC", "AREA", "Crm Cd Desc", "Premis Desc", "Status", "Lat", "Lon"]
+
 
 def message_text(messages: DataFrame) -> DataFrame:
     """Message bytes to text; key and topic stay as they are."""
     return messages.withColumn("value", F.col("value").cast("string"))
 
 
-def parse_records(messages: DataFrame, schema: StructType, bad_rows: str = "keep") -> DataFrame:
+def parse_records(messages: DataFrame, schema: StructType, bad_rows: str = "keep",
+                  fields: list[str] | None = None) -> DataFrame:
     """JSON messages to flat columns under a fixed schema.
 
     A field that does not fit its type becomes null. Text that is no JSON gives
     a row of nulls, which is kept, dropped or made an error as ``bad_rows`` says.
+    ``fields`` limits the parse to what is needed, which Spark cannot work out
+    by itself once the record is spread over columns; a row is judged readable
+    by all its fields, so the limit goes with kept rows only.
     """
     if bad_rows not in BAD_ROW_POLICIES:
         raise ValueError(f"bad_rows must be one of {BAD_ROW_POLICIES}, not {bad_rows!r}")
+    if fields is not None:
+        if bad_rows != "keep":
+            raise ValueError("fields can be limited only where bad rows are kept")
+        schema = StructType([f for f in schema.fields if f.name in fields])
     body = F.col("value").cast("string")
     records = messages.select(F.from_json(body, schema).alias("record")).select("record.*")
     if bad_rows == "keep":
@@ -68,7 +80,10 @@ def location_json(latitude: Column, longitude: Column) -> Column:
 
 
 def chicago_view(records: DataFrame, numeric_coordinates: bool = False) -> DataFrame:
-    """The 22-column Chicago view: titles, dates as text, location as JSON text."""
+    """The 22-column Chicago view: titles, dates as text, location as JSON text.
+
+    Records that were parsed without their location give the file layout.
+    """
     df = align_titles(records)
     place = {name: F.col(name) for name in ("latitude", "longitude")}
     if numeric_coordinates:
@@ -76,14 +91,16 @@ def chicago_view(records: DataFrame, numeric_coordinates: bool = False) -> DataF
     computed = {
         "Date": timestamps.to_text(_time(df, "Date")),
         "Updated On": timestamps.to_text(_time(df, "Updated On")),
-        "location": location_json(**place),
         **place,
     }
-    return df.select(*[computed.get(name, F.col(name)).alias(name) for name in CHICAGO_VIEW])
+    if "location" in df.columns:
+        computed["location"] = location_json(**place)
+    layout = CHICAGO_VIEW if "location" in df.columns else CHICAGO_FILE
+    return df.select(*[computed.get(name, F.col(name)).alias(name) for name in layout])
 
 
 def chicago_file_layout(view: DataFrame) -> DataFrame:
-    """The 21 columns that the Chicago files hold."""
+    """The 21 columns that the Chicago files hold: the view without location."""
     return view.select(*CHICAGO_FILE)
 
 

@@ -1,4 +1,4 @@
-"""Polygon-driven collection: which incidents to fetch, and what a fetch yields."""
+"""Collection of changed rows, and of the incidents inside polygons."""
 
 from __future__ import annotations
 
@@ -11,6 +11,21 @@ from incident_engine.operators.joins import fits_broadcast, join_keyed
 from incident_engine.operators.spatial import points_in_polygons
 from incident_engine.schemas import POLYGON_CAP
 from incident_engine.session import materialize
+from incident_engine.sinks.messages import keyed_json, routed_by_month, write_messages
+from incident_engine.sources.messages import MessageSource
+from incident_engine.sources.pull import pull_once
+
+
+def collect_changes(table: DataFrame, update_field: str, key: str, state: str, feed: str,
+                    sink: MessageSource, keep_null_key: bool = False) -> int:
+    """Send the rows changed since the feed's mark as keyed JSON; returns their number.
+
+    Counts changed rows, those without a key included.
+    """
+    def send(rows: DataFrame) -> None:
+        write_messages(keyed_json(rows, key, keep_null_key), sink)
+
+    return pull_once(table, update_field, state, feed, send)
 
 
 def worklist(forces: DataFrame, neighbourhoods: DataFrame, months: list[str]) -> DataFrame:
@@ -51,3 +66,12 @@ def collect_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec, key
     within_cap = materialize(sizes.filter(F.col("hits") <= cap).select(*pair), "polygon-months")
     inside = points_in_polygons(points, cover, grid, x, y, small)
     return join_keyed(inside, within_cap, pair, "left_semi")
+
+
+def collect_months(points: DataFrame, cover: DataFrame, grid: GridSpec, keys: list[str],
+                   months: list[str], sink: MessageSource, month: str = "month",
+                   cap: int = POLYGON_CAP) -> None:
+    """Send the incidents of the given months, each to the topic of its month."""
+    wanted = points.filter(F.col(month).isin(months))
+    found = collect_in_polygons(wanted, cover, grid, keys, month, cap)
+    write_messages(routed_by_month(found.drop(*keys), month), sink)

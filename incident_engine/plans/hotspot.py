@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_engine.functions import timestamps
+from incident_engine.functions import text, timestamps
 from incident_engine.functions.geo import GridSpec
 from incident_engine.operators import counts as op
-from incident_engine.schemas import HIT_THRESHOLD, HOT_SPOTS
-from incident_engine.session import materialize
+from incident_engine.operators.spatial import grid_cells, grid_over
+from incident_engine.schemas import CELL_SIZE, HIT_THRESHOLD, HOT_SPOTS
+from incident_engine.session import load_or_build, materialize
+from incident_engine.sinks.files import write_feature_collection
+from incident_engine.sources.files import scan_csv_skip_long, scan_geojson
 
 CELL = ["grid_id", "ix", "iy"]
 
@@ -36,11 +39,11 @@ class HotSpotModel:
 
     @property
     def forecast_month(self) -> Column:
-        return timestamps.next_month(op.latest_time(self.counts))
+        return F.add_months(self.previous_month, 1)
 
     @property
     def previous_month(self) -> Column:
-        return timestamps.month_start(op.latest_time(self.counts))
+        return op.latest_month(self.counts)
 
     def dense(self) -> DataFrame:
         return op.dense_counts(self.on_grid, CELL, self.calendar, self.all_cells)
@@ -57,5 +60,34 @@ class HotSpotModel:
 
 
 def hot_cells(cells: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Grid cells that are in the ranked list."""
-    return cells.join(F.broadcast(ranked.select("grid_id")), "grid_id", "left_semi")
+    """Grid cells that are in the ranked list.
+
+    Spark knows the list's length from its limit and picks the join by it.
+    """
+    return cells.join(ranked.select("grid_id"), "grid_id", "left_semi")
+
+
+POLYGON = ["polygon_id", "part_no"]
+
+
+def incident_points(table: DataFrame) -> DataFrame:
+    """``occurred_at, lon, lat`` of a CSV table with ``Date, Latitude, Longitude``."""
+    return table.select(
+        timestamps.parse_first("Date", timestamps.FILE_DATE_FORMS).alias("occurred_at"),
+        text.to_double("Longitude").alias("lon"), text.to_double("Latitude").alias("lat"))
+
+
+def hot_spots_from_files(spark: SparkSession, incidents_csv: str, boundary_geojson: str,
+                         grid_table: str, output: str, count: int = HOT_SPOTS,
+                         step: float = CELL_SIZE) -> DataFrame:
+    """Forecast from files to a FeatureCollection; returns the ranked cells.
+
+    The grid is built once and kept as a table at ``grid_table``.
+    """
+    boundary = scan_geojson(spark, boundary_geojson)
+    grid = grid_over(boundary, step)
+    cells = load_or_build(spark, grid_table, lambda: grid_cells(boundary, grid, POLYGON))
+    points = incident_points(scan_csv_skip_long(spark, incidents_csv))
+    ranked = materialize(HotSpotModel.fit(points, cells, grid).rank(count), "hot-spots")
+    write_feature_collection(hot_cells(cells, ranked), output, ["grid_id"], max_features=count)
+    return ranked

@@ -9,13 +9,16 @@ from incident_engine.functions import text, timestamps
 from incident_engine.operators import records
 from incident_engine.operators.sets import union_all
 from incident_engine.schemas import CHICAGO_RECORD, LA_RECORD, UK_RECORD
+from incident_engine.sinks.files import write_csv
 
 
 def unified_incidents(la_messages: DataFrame, uk_messages: DataFrame) -> DataFrame:
     """LA and UK messages as one incident table. Map-only: no shuffle."""
     return union_all(
-        records.la_incidents(records.parse_records(la_messages, LA_RECORD)),
-        records.uk_incidents(records.parse_records(uk_messages, UK_RECORD)),
+        records.la_incidents(records.parse_records(
+            la_messages, LA_RECORD, fields=records.LA_INCIDENT_FIELDS)),
+        records.uk_incidents(records.parse_records(
+            uk_messages, UK_RECORD, fields=records.UK_INCIDENT_FIELDS)),
     )
 
 
@@ -55,3 +58,19 @@ def audit_counts(df: DataFrame, **stages: Column) -> DataFrame:
 def latest_updates(df: DataFrame, column: str, key: str, count: int = 5) -> DataFrame:
     """Newest rows first; Spark keeps only ``count`` rows per task."""
     return df.orderBy(F.desc(column), key).limit(count)
+
+
+def refresh_archive(archive: DataFrame, messages: DataFrame, cutoff: str, output: str,
+                    files: int | None = None) -> None:
+    """Rewrite the archive: rows up to the cut-off, then the streamed ones.
+
+    ``output`` must not be a folder that ``archive`` reads from.
+    """
+    kept = updated_until(archive_rows(archive), cutoff)
+    write_csv(archive_merge(kept, flat(streamed_rows(messages))), output, files)
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, which is what a CSV file can hold."""
+    nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("struct", "array", "map")]
+    return df.withColumns({name: F.to_json(name) for name in nested})

@@ -41,13 +41,14 @@ def workspace_dir(spark: SparkSession) -> str:
 
     A private temporary folder is used only in local mode with nothing set.
     """
-    shared = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    shared = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="incident-engine-")
-        spark.conf.set(CHECKPOINT_KEY, shared)
-    return os.path.join(shared, "incident_engine", spark.sparkContext.applicationId)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="incident-engine-"))
+        shared = context.getCheckpointDir()
+    return os.path.join(shared, "incident_engine", context.applicationId)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

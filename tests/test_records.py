@@ -47,6 +47,14 @@ def test_bad_text_can_be_dropped_or_fail(spark):
         parse(spark, CHICAGO_RECORD, {"id": "1"}, bad_rows="skip")
 
 
+def test_fields_limit_the_parse(spark):
+    df = records.parse_records(messages(spark, {"id": "1", "beat": "2"}, "junk"), CHICAGO_RECORD,
+                               fields=["beat", "id"])
+    assert df.columns == ["id", "beat"] and df.count() == 2
+    with pytest.raises(ValueError, match="kept"):
+        records.parse_records(messages(spark, "{}"), CHICAGO_RECORD, "drop", ["id"])
+
+
 def test_bad_field_is_null_and_the_rest_stays(spark):
     row, = parse(spark, CHICAGO_RECORD,
                  {"id": 200.0, "date": "yesterday", "arrest": "true", "beat": "7"})
