@@ -89,17 +89,17 @@ FEEDS: dict[str, tuple[tuple[str, ...], str]] = {
           3.0e0 + ((l_suppkey % 20)*7 + extract(month from l_shipdate)) % 50 / 10.0e0
             as unemployment_rate
         from {lineitem} where (l_suppkey % 20 + extract(month from l_shipdate)) % 3 <> 0"""),
-    # One L-shaped precinct per supplier, 40 to a row, gaps between them: the
-    # union of the boxes [xa,xc]x[ya,yb] and [xa,xb]x[ya,yc].
+    # One L-shaped precinct per supplier with gaps between them: the union of the
+    # boxes [xa,xc]x[ya,yb] and [xa,xb]x[ya,yc]. They stand in blocks of five by
+    # five, forty blocks to a row; the first block lies over the incidents.
     "precincts": (("supplier", "nation"), """
-        select n_name as force, concat('Precinct ', cast(s_suppkey as varchar(20))) as neighbourhood,
-          -87.940005e0 + (s_suppkey % 40)*0.02131e0 as xa,
-          -87.940005e0 + (s_suppkey % 40)*0.02131e0 + 0.00673e0 as xb,
-          -87.940005e0 + (s_suppkey % 40)*0.02131e0 + 0.01513e0 as xc,
-          41.639995e0 + floor(s_suppkey / 40)*0.01873e0 as ya,
-          41.639995e0 + floor(s_suppkey / 40)*0.01873e0 + 0.00591e0 as yb,
-          41.639995e0 + floor(s_suppkey / 40)*0.01873e0 + 0.01331e0 as yc
-        from {supplier} join {nation} on s_nationkey = n_nationkey"""),
+        select force, neighbourhood, xa, xa + 0.006733e0 as xb, xa + 0.015133e0 as xc,
+          ya, ya + 0.005913e0 as yb, ya + 0.013313e0 as yc
+        from (select n_name as force,
+          concat('Precinct ', cast(s_suppkey as varchar(20))) as neighbourhood,
+          -87.940005e0 + (s_suppkey % 5 + floor(s_suppkey / 25) % 40 * 5)*0.02131e0 as xa,
+          41.639995e0 + (floor(s_suppkey / 5) % 5 + floor(s_suppkey / 1000) * 5)*0.01873e0 as ya
+          from {supplier} join {nation} on s_nationkey = n_nationkey) as placed"""),
 }
 
 PRECINCT = ["force", "neighbourhood"]
