@@ -32,65 +32,75 @@ def grid_over(boundary: DataFrame, step: float = CELL_SIZE) -> GridSpec:
     return GridSpec(extent["xmin"], extent["ymin"], extent["xmax"], extent["ymax"], step)
 
 
-def _edges(boundary: DataFrame, *keys: str) -> DataFrame:
-    return boundary.selectExpr(*keys, f"inline({ring_edges()})")
+def _strips(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
+    """Polygons cut into grid rows: ``keys, iy, edges, rim, crossings``.
 
-
-def _edge_pieces(boundary: DataFrame, grid: GridSpec, *keys: str) -> DataFrame:
-    """Edges cut per grid column and row: ``keys, ix, iy``, one per closed cell met.
-
-    An edge is cut by columns first, so a long slanted one gives work in line
-    with the cells it meets, not with its bounding box.
+    ``edges`` are those that meet the closed row, ``rim`` the columns that each
+    of them meets there, ``crossings`` the sorted x of those that pass the
+    middle of the row. A row gathers one polygon's edges in it and no more.
     """
-    left, right = grid.left(), grid.box()["xmax"]
     bottom, top = grid.bottom(), grid.box()["ymax"]
-    low_x, high_x = "least(x1, x2)", "greatest(x1, x2)"
-    columns = grid.columns_between(f"{grid.x_index(low_x)} - 1", f"{grid.x_index(high_x)} + 1")
-    rows = grid.rows_between(f"{grid.y_index('low')} - 1", f"{grid.y_index('high')} + 1")
-
-    def height_at(x: str) -> str:
-        return (f"case {x} when x1 then y1 when x2 then y2 "
-                f"else y1 + ({x} - x1) * ((y2 - y1) / (x2 - x1)) end")
-
-    enter, leave = height_at(f"greatest({low_x}, {left})"), height_at(f"least({high_x}, {right})")
-    return (
-        _edges(boundary, *keys)
-        .selectExpr(*keys, "x1", "y1", "x2", "y2", f"explode({columns}) as ix")
-        .where(f"{low_x} <= {right} and {high_x} >= {left}")
+    middle = f"({bottom} + {grid.width} / 2)"
+    low_y, high_y = "least(y1, y2)", "greatest(y1, y2)"
+    rows = grid.rows_between(f"{grid.y_index(low_y)} - 1", f"{grid.y_index(high_y)} + 1")
+
+    def x_at(y: str) -> str:
+        return (f"case {y} when y1 then x1 when y2 then x2 "
+                f"else x1 + ({y} - y1) * ((x2 - x1) / (y2 - y1)) end")
+
+    enter, leave = x_at(f"greatest({low_y}, {bottom})"), x_at(f"least({high_y}, {top})")
+    before, after = f"({grid.x_index('low')} - 1)", f"({grid.x_index('high')} + 1)"
+    pieces = (
+        boundary.selectExpr(*keys, f"inline({ring_edges()})")
+        .selectExpr("*", f"explode({rows}) as iy")
+        .where(f"{low_y} <= {top} and {high_y} >= {bottom}")
         .selectExpr(
-            *keys, "ix",
-            f"if(x1 = x2, least(y1, y2), least({enter}, {leave})) as low",
-            f"if(x1 = x2, greatest(y1, y2), greatest({enter}, {leave})) as high")
-        .selectExpr(*keys, "ix", "low", "high", f"explode({rows}) as iy")
-        .where(f"low <= {top} and high >= {bottom}")
-        .select(*keys, "ix", "iy")
+            "*",
+            f"if(y1 = y2, least(x1, x2), least({enter}, {leave})) as low",
+            f"if(y1 = y2, greatest(x1, x2), greatest({enter}, {leave})) as high",
+            f"if((y1 > {middle}) != (y2 > {middle}), "
+            f"(x2 - x1) * ({middle} - y1) / (y2 - y1) + x1, null) as crossing")
+        # A piece that ends on a column's edge meets the column beyond it too.
+        .selectExpr(
+            "*", f"if({grid.left(before)} + {grid.width} >= low, {before}, {before} + 1) as first",
+            f"if({grid.left(after)} <= high, {after}, {after} - 1) as last")
+    )
+    return pieces.groupBy(*keys, "iy").agg(
+        F.expr("collect_list(struct(x1, y1, x2, y2)) as edges"),
+        F.expr(f"collect_list({grid.columns_between('first', 'last')}) as rim"),
+        F.expr("sort_array(collect_list(crossing)) as crossings"),
     )
 
 
-def _cells_inside(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
-    """Cells whose centre is inside a polygon, by even-odd spans of each grid row."""
-    middle, centre = f"({grid.bottom()} + {grid.width} / 2)", f"({grid.left()} + {grid.width} / 2)"
-    rows = grid.rows_between(grid.y_index("least(y1, y2)"), grid.y_index("greatest(y1, y2)"))
-    row = f"over (partition by {', '.join(keys)}, iy order by x)"
-    columns = grid.columns_between(grid.x_index("x"), grid.x_index("until"))
+def polygon_cover(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
+    """Polygons cut into grid cells: ``keys, ix, iy, edges``.
+
+    A cell on the rim meets an edge and keeps those edges that a ray from one
+    of its points towards +x can cross. Any other cell is inside as a whole,
+    told by its centre, and carries no edges. Write it once and reuse it.
+    """
+    centre = f"({grid.left()} + {grid.width} / 2)"
+    span = grid.columns_between(grid.x_index("crossings[2 * i]"),
+                                grid.x_index("crossings[2 * i + 1]"))
+    spans = f"""flatten(transform(
+        filter(sequence(0, size(crossings) div 2), i -> 2 * i + 1 < size(crossings)),
+        i -> filter(coalesce({span}, array()),
+          ix -> {centre} > crossings[2 * i] and {centre} < crossings[2 * i + 1])))"""
+    ahead = f"filter(edges, e -> greatest(e.x1, e.x2) >= {grid.left()})"
     return (
-        _edges(boundary, *keys)
-        .selectExpr(*keys, "x1", "y1", "x2", "y2", f"explode({rows}) as iy")
-        .where(f"(y1 > {middle}) != (y2 > {middle})")
-        .selectExpr(*keys, "iy", f"(x2 - x1) * ({middle} - y1) / (y2 - y1) + x1 as x")
-        .selectExpr(*keys, "iy", "x", f"lead(x) {row} as until", f"row_number() {row} as nth")
-        .where("nth % 2 = 1")
-        .selectExpr(*keys, "iy", "x", "until", f"explode({columns}) as ix")
-        .where(f"{centre} > x and {centre} < until")
-        .select(*keys, "ix", "iy")
+        _strips(boundary, grid, keys)
+        .selectExpr(*keys, "iy", "edges", "crossings", "array_distinct(flatten(rim)) as rim")
+        .selectExpr(*keys, "iy", "edges", "rim", f"array_except({spans}, rim) as whole")
+        .selectExpr(*keys, "iy", f"""inline(concat(
+            transform(rim, ix -> named_struct('ix', ix, 'edges', {ahead})),
+            transform(whole, ix -> named_struct('ix', ix, 'edges', null))))""")
+        .select(*keys, "ix", "iy", "edges")
     )
 
 
 def cells_on_boundary(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
     """Grid cells ``(ix, iy)`` that touch any polygon; ``keys`` name a polygon."""
-    touching = _edge_pieces(boundary, grid).union(
-        _cells_inside(boundary, grid, keys).select("ix", "iy"))
-    return touching.distinct()
+    return polygon_cover(boundary, grid, keys).select("ix", "iy").distinct()
 
 
 def number_cells(cells: DataFrame) -> DataFrame:
@@ -147,31 +157,6 @@ def points_to_cells(points: DataFrame, cells: DataFrame, grid: GridSpec,
                       broadcast=broadcast).drop("ix", "iy")
 
 
-def polygon_cover(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
-    """Polygons cut into grid cells: ``keys, ix, iy, edges``.
-
-    A cell that no edge meets is inside as a whole and carries no edges. A cell
-    on the rim keeps the edges that a ray from one of its points towards +x can
-    cross. Write it once and reuse it.
-    """
-    rim = _edge_pieces(boundary, grid, *keys).distinct()
-    whole = (
-        _cells_inside(boundary, grid, keys)
-        .join(rim, [*keys, "ix", "iy"], "left_anti")
-        .selectExpr(*keys, "ix", "iy", "null as edges")
-    )
-    rows = grid.rows_between(f"{grid.y_index('least(y1, y2)')} - 1",
-                             f"{grid.y_index('greatest(y1, y2)')} + 1")
-    by_row = (
-        _edges(boundary, *keys)
-        .selectExpr(*keys, f"explode({rows}) as iy", "struct(x1, y1, x2, y2) as edge")
-        .groupBy(*keys, "iy").agg(F.collect_list("edge").alias("all_edges"))
-    )
-    ahead = f"filter(all_edges, e -> greatest(e.x1, e.x2) >= {grid.left()})"
-    on_rim = rim.join(by_row, [*keys, "iy"]).selectExpr(*keys, "ix", "iy", f"{ahead} as edges")
-    return on_rim.unionByName(whole)
-
-
 def points_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec,
                        x: str = "lon", y: str = "lat", broadcast: bool | None = None) -> DataFrame:
     """Inner join of points with the polygons that hold them; adds the cover's keys."""
