@@ -38,10 +38,13 @@ def routed_by_month(records: DataFrame, month: str = "month") -> DataFrame:
     )
 
 
-def write_messages(messages: DataFrame, sink: MessageSource, mode: str = "append") -> None:
+def write_messages(messages: DataFrame, sink: MessageSource, mode: str = "append",
+                   compact: bool = False) -> None:
     """Write to Kafka, or to files; a ``topic`` column becomes the file partition.
 
-    With one topic named by the sink every row goes there.
+    With one topic named by the sink every row goes there. Files are written
+    where the rows are, one per task and topic. ``compact`` has Spark gather
+    each topic first, which costs a shuffle; it splits big topics over tasks.
     """
     rows = messages
     if sink.topics:
@@ -51,6 +54,8 @@ def write_messages(messages: DataFrame, sink: MessageSource, mode: str = "append
     if sink.format == "kafka":
         rows.write.format("kafka").options(**sink.options).save()
         return
+    if compact and "topic" in rows.columns:
+        rows = rows.hint("rebalance", "topic")
     writer = rows.write.format(sink.format).mode(mode).options(**sink.options)
     if "topic" in rows.columns:
         writer = writer.partitionBy("topic")

@@ -66,3 +66,16 @@ def test_one_topic_for_all(spark, tmp_path):
     assert [r["topic"] for r in spark.read.parquet(path).collect()] == ["only"] * 3
     with pytest.raises(ValueError, match="one topic"):
         sinks.write_messages(spark.range(1), MessageSource("parquet", ("a", "b")))
+
+
+def test_compact_gathers_a_topic(spark, tmp_path):
+    df = spark.range(0, 400, 1, 8).selectExpr("concat('t', id % 2) as month", "id")
+    counts = {}
+    for compact in (False, True):
+        path = str(tmp_path / f"compact-{compact}")
+        sinks.write_messages(sinks.routed_by_month(df), MessageSource("parquet", options={"path": path}),
+                             compact=compact)
+        out = spark.read.parquet(path)
+        assert out.count() == 400
+        counts[compact] = len(out.inputFiles())
+    assert counts == {False: 16, True: 2}
