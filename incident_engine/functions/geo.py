@@ -40,6 +40,11 @@ class GridSpec:
     def y_index(self, y: str) -> str:
         return f"cast(floor(({y} - ({self.ymin!r}D)) / {self.width}) as bigint)"
 
+    def holds(self, x: str, y: str) -> str:
+        """Is the point within the extent, edges included?"""
+        return (f"{x} >= {self.xmin!r}D and {x} <= {self.xmax!r}D "
+                f"and {y} >= {self.ymin!r}D and {y} <= {self.ymax!r}D")
+
     def left(self, ix: str = "ix") -> str:
         return f"({self.xmin!r}D + {ix} * {self.width})"
 

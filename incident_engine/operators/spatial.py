@@ -159,8 +159,13 @@ def points_to_cells(points: DataFrame, cells: DataFrame, grid: GridSpec,
 
 def points_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec,
                        x: str = "lon", y: str = "lat", broadcast: bool | None = None) -> DataFrame:
-    """Inner join of points with the polygons that hold them; adds the cover's keys."""
-    located = points.withColumns({"ix": F.expr(grid.x_index(x)), "iy": F.expr(grid.y_index(y))})
+    """Inner join of points with the polygons that hold them; adds the cover's keys.
+
+    Points off the grid are in no polygon: the filter on plain coordinates
+    reaches the scan, and they are not shuffled.
+    """
+    located = points.where(grid.holds(x, y)).withColumns({
+        "ix": F.expr(grid.x_index(x)), "iy": F.expr(grid.y_index(y))})
     pairs = join_keyed(located, cover, ["ix", "iy"], "inner", broadcast=broadcast)
     inside = f"edges is null or {inside_edges('edges', x, y)}"
     return pairs.where(inside).drop("ix", "iy", "edges")

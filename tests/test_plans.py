@@ -53,6 +53,17 @@ def test_only_the_columns_in_use_are_read(spark):
     assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in plan
 
 
+def test_extent_filter_reaches_the_scan(spark, tmp_path):
+    points = feeds.feed(spark, SMALL, "inc").select("lon", "lat")
+    points.write.parquet(str(tmp_path / "points"))
+    frame = feeds.precinct_boundary(spark, SMALL)
+    grid = spatial.grid_over(frame)
+    found = spatial.points_in_polygons(
+        spark.read.parquet(str(tmp_path / "points")), spatial.polygon_cover(frame, grid, feeds.PRECINCT),
+        grid, broadcast=True)
+    assert f"GreaterThanOrEqual(lon,{grid.xmin})" in plan_of(found)
+
+
 def test_hot_spots_from_files(spark, tmp_path):
     ring = [[0, 0], [0.06, 0], [0.06, 0.06], [0, 0.06], [0, 0]]
     boundary = tmp_path / "city.geojson"

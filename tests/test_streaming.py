@@ -8,8 +8,10 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from incident_engine.catalog import feeds as catalog
+from incident_engine.plans.collect import collect_changes
 from incident_engine.schemas import CHICAGO_FILE, SEATTLE_VIEW
 from incident_engine.sources.messages import MessageSource, stream_messages
+from incident_engine.sources.pull import load_mark
 from incident_engine.streaming.feeds import (
     CHICAGO,
     SEATTLE,
@@ -125,11 +127,32 @@ def test_restarts_are_bounded(spark, small, tmp_path):
     assert len(starts) == 2
 
 
-def test_pull_runs_at_each_tick(spark, tmp_path):
-    calls = []
-    query = start_pull(spark, lambda: calls.append(1), str(tmp_path / "cp"), poll="1 second")
-    deadline = time.time() + 30
-    while len(calls) < 2 and time.time() < deadline:
-        time.sleep(0.2)
-    query.stop()
-    assert len(calls) >= 2
+def test_pull_emits_each_change_once_and_moves_the_mark(spark, tmp_path):
+    table, state, out = (str(tmp_path / n) for n in ("table", "marks", "out"))
+    row = "select '{}' as id, '2025-01-0{}' as updated_on"
+    spark.sql(row.format("a", 1)).write.parquet(table)
+    sink = MessageSource("parquet", ("feed",), {"path": out})
+    cycles = []
+
+    def pull():
+        spark.catalog.refreshByPath(table)
+        cycles.append(collect_changes(spark.read.parquet(table), "updated_on", "id", state, "feed", sink))
+
+    def wait(count):
+        deadline = time.time() + 60
+        while sum(cycles) < count and time.time() < deadline:
+            time.sleep(0.2)
+
+    query = start_pull(spark, pull, str(tmp_path / "cp"), poll="1 second")
+    try:
+        wait(1)
+        spark.sql(row.format("b", 2)).write.mode("append").parquet(table)
+        wait(2)
+        done = len(cycles)
+        while len(cycles) < done + 2:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert sum(cycles) == 2 and len(cycles) >= 4
+    assert sorted(r["key"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    assert load_mark(spark, state, "feed") == "2025-01-02"
