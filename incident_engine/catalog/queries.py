@@ -17,7 +17,7 @@ from incident_engine.functions import text, timestamps
 from incident_engine.functions.geo import GridSpec
 from incident_engine.operators import counts, features, forecast, records, sets, spatial
 from incident_engine.plans import collect, hotspot, incidents
-from incident_engine.schemas import CELL_SIZE, CHICAGO_RECORD, LA_RECORD, SEATTLE_RECORD, UK_RECORD
+from incident_engine.schemas import CELL_SIZE, CHICAGO_RECORD, LA_RECORD, UK_RECORD
 from incident_engine.session import load_or_build, materialize, use_utc, workspace_dir
 from incident_engine.sinks import files as file_sinks
 from incident_engine.sinks import messages as message_sinks

@@ -45,6 +45,7 @@ def test_cap_at_its_default(spark, cover):
         points = part if points is None else points.union(part)
     outside = spark.range(50).selectExpr("1.9D as lon", "0.9D as lat", "'m1' as month", "id")
     got = collect.collect_in_polygons(points.union(outside), cover, GRID, ["neighbourhood"])
-    counts = {(r["neighbourhood"], r["month"]): r["count"] for r in got.groupBy("neighbourhood", "month").count().collect()}
+    counts = {(r["neighbourhood"], r["month"]): r["count"]
+              for r in got.groupBy("neighbourhood", "month").count().collect()}
     assert counts == {("a", "m1"): POLYGON_CAP, ("b", "m1"): 3}
     assert set(got.columns) == {"neighbourhood", "month", "lon", "lat", "id"}

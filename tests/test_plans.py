@@ -176,5 +176,6 @@ def test_feeds_keep_points_off_polygon_edges(spark):
     inc = feeds.feed(spark, SMALL, "inc").select("lon", "lat").distinct()
     micro = lambda c: F.pmod(F.round(F.col(c) * 1e6).cast("bigint"), F.lit(10))
     assert {tuple(r) for r in inc.select(micro("lon"), micro("lat")).distinct().collect()} == {(0, 0)}
-    edges = feeds.feed(spark, SMALL, "precincts").select(micro("xa"), micro("xb"), micro("xc"), micro("ya"), micro("yb"), micro("yc"))
+    edges = feeds.feed(spark, SMALL, "precincts").select(
+        *[micro(c) for c in ("xa", "xb", "xc", "ya", "yb", "yc")])
     assert {tuple(r) for r in edges.distinct().collect()} == {(5, 8, 8, 5, 8, 8)}

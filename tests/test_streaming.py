@@ -34,20 +34,6 @@ def source(path, *topics):
     return MessageSource("parquet", topics, {"path": path, "maxFilesPerTrigger": "2"})
 
 
-def written(spark, path, columns):
-    rows = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).option("escape", '"').csv(path)
-    return sorted(tuple(r[c] for c in columns) for r in rows.collect())
-
-
-def expected(df):
-    return sorted((tuple(r) for r in df.select(*[F.col(f"`{c}`").cast("string") for c in df.columns]
-                                               ).collect()))
-
-
-def key(rows):
-    return sorted(rows, key=lambda r: tuple((v is not None, v) for v in r))
-
-
 @pytest.mark.parametrize("feed, columns, make", [
     (CHICAGO, CHICAGO_FILE, catalog.chi_messages), (SEATTLE, SEATTLE_VIEW, catalog.sea_messages)])
 def test_stream_equals_batch_and_restart_adds_nothing(spark, small, tmp_path, feed, columns, make):
