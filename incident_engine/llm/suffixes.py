@@ -143,8 +143,8 @@ def _anchor_rows(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(held: DataFrame) -> DataFrame:
-    """Per text, anchor and block of places: hash of the core, hash of the whole extent if all
-    its places choose the anchor (else null), and the string starts that do."""
+    """Per text, anchor and block of places: hash of the core, hash of the extent of the places
+    that choose the anchor (with these places), and the string starts they stand for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -156,12 +156,11 @@ def _blocks(held: DataFrame) -> DataFrame:
                     for j in range(low // PLACES, high // PLACES + 1):
                         a, b = j * PLACES, min(j * PLACES + PLACES - 1, _SPREAD)
                         core = xxhash.xxh3_128_digest(data[at - a:at - b + LENGTH], j)
-                        whole = None
-                        if low <= a and b <= high:
-                            whole = xxhash.xxh3_64_intdigest(data[at - b:at - a + LENGTH]) >> 1
+                        a, b = max(a, low), min(b, high)
+                        whole = xxhash.xxh3_64_intdigest(data[at - b:at - a + LENGTH], a << 16 | b)
                         rows.append((id_, int.from_bytes(core[:8], "little", signed=True),
-                                     int.from_bytes(core[8:], "little", signed=True), whole,
-                                     at - min(b, high), at - max(a, low)))
+                                     int.from_bytes(core[8:], "little", signed=True), whole >> 1,
+                                     at - b, at - a))
             cols = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in cols],
@@ -259,9 +258,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        "suffix-held")
 
     key = ["c1", "c2", "whole"]
-    blocks = materialize(_blocks(held).withColumn(
-        "whole", F.coalesce("whole", F.xxhash64("id", "first").bitwiseOR(F.lit(-(1 << 63))))),
-        "suffix-blocks")
+    blocks = materialize(_blocks(held), "suffix-blocks")
     kinds = blocks.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(
         F.struct("id", "first", "last")).alias("one"))
     cores = kinds.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all"))
