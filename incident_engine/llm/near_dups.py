@@ -199,8 +199,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(ids, pa.binary())],
                                              names=["id", "words"])
 
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    words = materialize(texts.join(needed, "id").mapInArrow(to_ids, "id long, words binary"),
+    words = materialize(texts.mapInArrow(to_ids, "id long, words binary"),
                         "near-words")
     joined = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a") \
         .join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
@@ -232,10 +231,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     holders = ids.join(wanted, "id").select(
         "id", "hash", F.coalesce("low", F.lit(-(1 << 62))).alias("holder"))
-    # one row of each text that is in a pair, by the id and the hash of its first holder
+    # the texts that are in a pair, by the id and the hash of their first holder; the list grows
+    # with the corpus, so it is merged at every size
     texts = hashed.withColumn("holder", F.coalesce("doc_id", F.lit(-(1 << 62)))) \
-        .join(holders, ["holder", "hash"]).select("id", "text")
-    links = materialize(_verified(pairs, texts.dropDuplicates(["id"]), least), "near-links")
+        .join(holders.hint("merge"), ["holder", "hash"]).select("id", "text")
+    links = materialize(_verified(pairs, texts, least).distinct(), "near-links")
     roots = components(links, "near")
     degree = links.select(F.col("a").alias("id")).union(links.select("b")) \
         .groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
