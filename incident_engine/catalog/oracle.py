@@ -95,8 +95,8 @@ _CALENDAR = """
     round(sin(2*pi()*(isodow({m}) - 1)/7), 9) as day_of_week_sin,
     round(cos(2*pi()*(isodow({m}) - 1)/7), 9) as day_of_week_cos"""
 
-_MONTHS = ", ".join(f"'{m}'" for m in q.COLLECT_MONTHS)
-_WORK = f"select force, neighbourhood, unnest([{_MONTHS}]) as month from precincts"
+_WORK = """select force, neighbourhood, month
+    from precincts, (select distinct month from uk) listed"""
 _CORNERS = ("round(xmin, 9) as xmin, round(ymin, 9) as ymin, "
             "round(xmax, 9) as xmax, round(ymax, 9) as ymax")
 _POLY = """
@@ -134,16 +134,13 @@ _SEA_NULLS = ", ".join(f'cast(null as varchar) as "{c}"' for c in [
     "NIBRS Offense Code Description", "NIBRS Offense Code"])
 _PAGE_COLUMNS = f"id, {_ts('updated_ts')} as updated_on"
 _KEYED = """select case when event_id % 50 <> 0 then id end as key, id as id_in_value from chi"""
-_TOPICS = ", ".join(f"'{t}'" for t in q.TOPICS)
-_SIX_TOPICS = ", ".join(f"'{t}'" for t in q.TOPICS[:6])
 _INSIDE = """lon > bx0 and lon < bx1 and lat > by0 and lat < by1"""
 _START = f"date '{q.HORIZON[0]}-{q.HORIZON[1]:02d}-01'"
 
 # query name -> (steps it reads, SELECT)
 _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "src_messages": (("chi",), "select id, true as value_len_ok from chi"),
-    "src_multi_topic": (("uk",), f"""
-        select month as topic, count(*) as n from uk where month in ({_TOPICS}) group by month"""),
+    "src_multi_topic": (("uk",), "select month as topic, count(*) as n from uk group by month"),
     "csv_to_messages": (("la",), "select dr_no, premis, status, true as has_null_key from la"),
     "pull_since_mark": (("chi",), f"""
         select {_PAGE_COLUMNS} from chi where updated_ts > timestamp '{q.MARK}'"""),
@@ -152,12 +149,18 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
           limit 1000 offset 1000)"""),
     "pull_next_mark": (("chi",), f"""
         select {_ts(f"greatest(max(updated_ts), timestamp '{q.MARK}')")} as next_mark from chi"""),
-    "collect_worklist": (("precincts",), _WORK),
+    "collect_worklist": (("precincts", "uk"), _WORK),
     "collect_in_polygon": (("inc", "boxes"), f"""
         select force, neighbourhood, strftime(occurred_at, '%Y-%m') as month, count(*) as n
         from (select distinct force, neighbourhood, pos, occurred_at from boxes join (
           select row_number() over () as pos, * from inc) p on {_INSIDE})
-        group by all having count(*) <= {q.COLLECT_CAP}"""),
+        group by all"""),
+    "collect_by_worklist": (("inc", "boxes", "precincts", "uk"), f"""
+        select force, neighbourhood, month, count(*) as n
+        from (select distinct force, neighbourhood, pos, strftime(occurred_at, '%Y-%m') as month
+          from boxes join (select row_number() over () as pos, * from inc) p on {_INSIDE}) found
+        semi join ({_WORK}) w using (force, neighbourhood, month)
+        group by all"""),
     "sink_keyed_json": (("chi",), f"select * from ({_KEYED}) where key is not null"),
     "sink_keyed_json_nullkey": (("chi",), _KEYED),
     "sink_topic_route": (("uk",), "select month as topic, count(*) as n from uk group by month"),
@@ -190,7 +193,11 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "la_normalize": (("la",), _LA_ROWS),
     "la_severity": (("la",), f"select {_LA_SEVERITY} as severity, count(*) as n from la group by all"),
     "unified_incidents": (("la", "uk"), f"{_LA_ROWS} union all by name {_UK_ROWS}"),
-    "union_topics": (("uk",), f"select id, month from uk where month in ({_SIX_TOPICS})"),
+    "union_topics": (("chi", "sea", "uk", "la"), """
+        select 'chicago' as topic, cast(id as varchar) as id from chi
+        union all select 'seattle', cast(report_number as varchar) from sea
+        union all select 'uk', cast(id as varchar) from uk
+        union all select 'la', cast(dr_no as varchar) from la"""),
     "archive_merge": (("chi",), f"""
         select id as "ID", {_ts("date_ts")} as "Date", {_ts("updated_ts")} as "Updated On" from chi
         where event_id % 2 = 1 or date_trunc('second', updated_ts) <= timestamp '{q.CUTOFF}'"""),
@@ -222,7 +229,7 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "calendar_features": (("inc",), f"""
         select {_CALENDAR.format(m="m")}
         from (select distinct date_trunc('month', occurred_at) as m from inc)"""),
-    "encode_request": (("precincts",), f"""
+    "encode_request": (("precincts", "uk"), f"""
         select w.neighbourhood, concat('/', w.force, '/', replace(w.neighbourhood, ' ', '%20'),
             '/boundary') as path,
           concat('poly=', replace(replace(poly, ',', '%2C'), ':', '%3A'), '&date=', month) as body
@@ -245,9 +252,9 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
         select grid_id, ix, iy, strftime(m, '%Y-%m') as month, n from counted"""),
     "hotspot_dense": (("dense",), """
         select grid_id, ix, iy, strftime(m, '%Y-%m') as month, n from dense"""),
-    "hotspot_pivot": (("counted",), "select grid_id, ix, iy, " + ", ".join(
-        f"cast(coalesce(sum(n) filter (strftime(m, '%Y-%m') = '{m}'), 0) as bigint) as m{i}"
-        for i, m in enumerate(q.PIVOT_MONTHS, 1)) + " from counted group by all"),
+    "hotspot_pivot": (("dense",), """
+        select grid_id, ix, iy, string_agg(cast(n as varchar), ',' order by m) as counts
+        from dense group by all"""),
     "hotspot_trailing_mean": (("scored",), """
         select grid_id, ix, iy, strftime(m, '%Y-%m') as month, round(mu, 6) as mu from scored"""),
     "hotspot_poisson": (("scored",), """
@@ -292,7 +299,7 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
         select asked.area, asked.year, asked.month,
           round(greatest((a + b*(asked.year*12 + asked.month - origin)) * coalesce(idx, 1), 0), 6)
             as yhat
-        from (select area, year + 2 as year, month from rate where year = {q.REQUEST_YEAR}) asked
+        from (select area, year + 2 as year, month from rate) asked
         join lines on lines.area = asked.area
         left join seasons on seasons.area = asked.area and seasons.month = asked.month"""),
     "forecast_horizon": (("lines", "seasons"), f"""

@@ -30,12 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 MARK = "2024-01-20T00:00:00.000"
 CUTOFF = "2024-01-20 01:00:00"
-TOPICS = [f"{1996 + m // 12}-{m % 12 + 1:02d}" for m in range(36) if m != 22]
-COLLECT_MONTHS = ["1998-03", "1998-04", "1998-05"]
-COLLECT_CAP = 14
 HOT_CELLS = 40
-PIVOT_MONTHS = ["1998-01", "1998-02", "1998-03"]
-REQUEST_YEAR = 2000
 HORIZON = (2001, 6, 10)
 
 
@@ -81,9 +76,14 @@ def src_messages(spark, sf):
                      (F.length("value") > 2).alias("value_len_ok"))
 
 
+def _months(spark, sf) -> list[str]:
+    """Every month of the feed, which is also its list of topics."""
+    return sorted(r["month"] for r in feed(spark, sf, "uk").select("month").distinct().collect())
+
+
 @query
 def src_multi_topic(spark, sf):
-    return only_topics(feeds.uk_messages(spark, sf), *TOPICS).groupBy("topic").agg(n_rows())
+    return only_topics(feeds.uk_messages(spark, sf), *_months(spark, sf)).groupBy("topic").agg(n_rows())
 
 
 @query
@@ -115,14 +115,22 @@ def pull_next_mark(spark, sf):
 @query
 def collect_worklist(spark, sf):
     precincts = feed(spark, sf, "precincts").select("force", "neighbourhood")
-    return collect.worklist(precincts.select("force").distinct(), precincts, COLLECT_MONTHS)
+    return collect.worklist(precincts.select("force").distinct(), precincts, _months(spark, sf))
 
 
 @query
 def collect_in_polygon(spark, sf):
     points = feed(spark, sf, "inc").withColumn("month", F.date_format("occurred_at", "yyyy-MM"))
     grid, cover = _cover(spark, sf)
-    rows = collect.collect_in_polygons(points, cover, grid, PRECINCT, cap=COLLECT_CAP)
+    rows = collect.collect_in_polygons(points, cover, grid)
+    return rows.groupBy(*PRECINCT, "month").agg(n_rows())
+
+
+@query
+def collect_by_worklist(spark, sf):
+    points = feed(spark, sf, "inc").withColumn("month", F.date_format("occurred_at", "yyyy-MM"))
+    grid, cover = _cover(spark, sf)
+    rows = collect.collect_by_worklist(points, collect_worklist(spark, sf), cover, grid, PRECINCT)
     return rows.groupBy(*PRECINCT, "month").agg(n_rows())
 
 
@@ -263,10 +271,11 @@ def unified_incidents(spark, sf):
 
 @query
 def union_topics(spark, sf):
-    messages = feeds.uk_messages(spark, sf)
-    frames = [only_topics(messages, topic) for topic in TOPICS[:6]]
-    df = records.parse_records(sets.union_all(*frames), UK_RECORD)
-    return df.select("id", "month")
+    names = {"chicago": "id", "seattle": "report_number", "uk": "id", "la": "dr_no"}
+    tables = {"chicago": "chi", "seattle": "sea", "uk": "uk", "la": "la"}
+    return sets.union_all(*[
+        feed(spark, sf, tables[topic]).select(F.lit(topic).alias("topic"), F.col(name).cast("string").alias("id"))
+        for topic, name in names.items()])
 
 
 @query
@@ -381,7 +390,7 @@ def calendar_features(spark, sf):
 def encode_request(spark, sf):
     polygons = _polygon_texts(spark, sf)
     work = collect.worklist(polygons.select("force").distinct(),
-                            polygons.select(*PRECINCT), COLLECT_MONTHS)
+                            polygons.select(*PRECINCT), _months(spark, sf))
     return collect.requests(work, polygons).select("neighbourhood", "path", "body")
 
 
@@ -500,9 +509,8 @@ def hotspot_dense(spark, sf):
 
 @query
 def hotspot_pivot(spark, sf):
-    df = _model(spark, sf).on_grid.withColumn("month", month_text())
-    wide = counts.wide_counts(df, hotspot.CELL, PIVOT_MONTHS)
-    return wide.withColumnsRenamed({m: f"m{i}" for i, m in enumerate(PIVOT_MONTHS, 1)})
+    wide = counts.wide_rows(_model(spark, sf).dense(), hotspot.CELL)
+    return wide.select(*hotspot.CELL, F.array_join(F.col("counts").cast("array<string>"), ",").alias("counts"))
 
 
 def _scored(spark, sf) -> DataFrame:
@@ -640,7 +648,7 @@ def forecast_mse(spark, sf):
 @query
 def forecast_predict(spark, sf):
     models = forecast.fit_trend_season(_split(spark, sf))
-    asked = _rate(spark, sf).filter(F.col("year") == REQUEST_YEAR).select(
+    asked = _rate(spark, sf).select(
         "AREA", (F.col("year") + 2).alias("year"), "month")
     df = forecast.predict_trend_season(asked, models)
     return _area(df).select("area", *as_long("year", "month"), *rounded(6, "yhat"))

@@ -69,6 +69,12 @@ def dense_counts(counts: DataFrame, keys: list[str], calendar: bool = False,
     return months.select(*keys, "month", filled.alias("n"))
 
 
+def wide_rows(dense: DataFrame, keys: list[str]) -> DataFrame:
+    """Wide view of all months of the axis: one array per cell, in order of the months."""
+    rows = F.array_sort(F.collect_list(F.struct("month", "n")))
+    return dense.groupBy(*keys).agg(rows.getField("n").alias("counts"))
+
+
 def wide_counts(counts: DataFrame, keys: list[str], months: list) -> DataFrame:
     """Wide view of chosen months, one column each, zeros filled in."""
     return counts.groupBy(*keys).pivot("month", months).agg(F.sum("n")).fillna(0)

@@ -9,8 +9,6 @@ from incident_engine.functions import text
 from incident_engine.functions.geo import GridSpec
 from incident_engine.operators.joins import fits_broadcast, join_keyed
 from incident_engine.operators.spatial import points_in_polygons
-from incident_engine.schemas import POLYGON_CAP
-from incident_engine.session import materialize
 from incident_engine.sinks.messages import keyed_json, routed_by_month, write_messages
 from incident_engine.sources.messages import MessageSource
 from incident_engine.sources.pull import pull_once
@@ -47,31 +45,25 @@ def requests(work: DataFrame, polygons: DataFrame) -> DataFrame:
     )
 
 
-def collect_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec, keys: list[str],
-                        month: str = "month", cap: int = POLYGON_CAP, x: str = "lon",
-                        y: str = "lat") -> DataFrame:
-    """Incidents inside each polygon and month; a pair with more than ``cap`` yields none.
+def collect_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec,
+                        x: str = "lon", y: str = "lat") -> DataFrame:
+    """Incidents inside each polygon, in one join; all of them, however many a polygon has.
 
-    ``cover`` is a written ``polygon_cover``. Sizes are counted first, from
-    coordinates and month alone and with partial sums per task, and written.
-    Pairs over the cap, the only large groups, are then kept out by a join, so
-    no group is ever gathered in one place.
+    ``cover`` is a written ``polygon_cover``.
     """
-    small = fits_broadcast(cover)
-    pair = [*keys, month]
-    sizes = (
-        points_in_polygons(points.select(x, y, month), cover, grid, x, y, small)
-        .groupBy(*pair).agg(F.count(F.lit(1)).alias("hits"))
-    )
-    within_cap = materialize(sizes.filter(F.col("hits") <= cap).select(*pair), "polygon-months")
-    inside = points_in_polygons(points, cover, grid, x, y, small)
-    return join_keyed(inside, within_cap, pair, "left_semi")
+    return points_in_polygons(points, cover, grid, x, y, fits_broadcast(cover))
+
+
+def collect_by_worklist(points: DataFrame, work: DataFrame, cover: DataFrame, grid: GridSpec,
+                        keys: list[str], month: str = "month") -> DataFrame:
+    """Incidents of exactly the pairs of polygon and month that the work list names."""
+    inside = collect_in_polygons(points, cover, grid)
+    return join_keyed(inside, work.select(*keys, month).distinct(), [*keys, month], "left_semi")
 
 
 def collect_months(points: DataFrame, cover: DataFrame, grid: GridSpec, keys: list[str],
-                   months: list[str], sink: MessageSource, month: str = "month",
-                   cap: int = POLYGON_CAP) -> None:
+                   months: list[str], sink: MessageSource, month: str = "month") -> None:
     """Send the incidents of the given months, each to the topic of its month."""
     wanted = points.filter(F.col(month).isin(months))
-    found = collect_in_polygons(wanted, cover, grid, keys, month, cap)
+    found = collect_in_polygons(wanted, cover, grid)
     write_messages(routed_by_month(found.drop(*keys), month), sink)

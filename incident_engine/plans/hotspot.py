@@ -89,5 +89,5 @@ def hot_spots_from_files(spark: SparkSession, incidents_csv: str, boundary_geojs
     cells = load_or_build(spark, grid_table, lambda: grid_cells(boundary, grid, POLYGON))
     points = incident_points(scan_csv_skip_long(spark, incidents_csv))
     ranked = materialize(HotSpotModel.fit(points, cells, grid).rank(count), "hot-spots")
-    write_feature_collection(hot_cells(cells, ranked), output, ["grid_id"], max_features=count)
+    write_feature_collection(hot_cells(cells, ranked), output, ["grid_id"])
     return ranked

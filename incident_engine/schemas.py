@@ -154,5 +154,4 @@ HIT_THRESHOLD = 0.5
 HOLDOUT_SHARE = 0.2
 DEFAULT_RATE = 5.0
 HOLIDAY_MONTHS = (1, 7, 12)
-POLYGON_CAP = 10_000
 PAGE_SIZE = 1000

@@ -15,7 +15,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def build_session(app: str = "incident-engine", cores: str = "*", shuffle_partitions: int = 8,
                   memory: str = "8g") -> SparkSession:
     """Local session for tests and benchmarks; clusters bring their own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -23,8 +23,9 @@ def build_session(app: str = "incident-engine", cores: str = "*", shuffle_partit
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
     )
+    # one machine runs all of this session, so a folder of its own will do
+    spark = builder.config(CHECKPOINT_KEY, tempfile.mkdtemp(prefix="incident-engine-")).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -39,15 +40,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def workspace_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the cluster names it.
 
-    A private temporary folder is used only in local mode with nothing set.
+    Without a checkpoint folder it is the warehouse, which executors share as well.
     """
     context = spark.sparkContext
-    shared = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
-    if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="incident-engine-"))
-        shared = context.getCheckpointDir()
+    shared = (spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
+              or spark.conf.get("spark.sql.warehouse.dir"))
     return os.path.join(shared, "incident_engine", context.applicationId)
 
 

@@ -52,20 +52,21 @@ def write_feature_lines(cells: DataFrame, path: str, properties: list[str]) -> N
     cell_features(cells, properties).select("feature").write.mode("overwrite").text(path)
 
 
-def write_feature_collection(cells: DataFrame, path: str, properties: list[str],
-                             max_features: int = 10_000) -> None:
-    """One FeatureCollection document, for lists of known length such as the hot spots.
-
-    More than ``max_features`` cells is an error; use feature lines for those.
-    """
-    features = cell_features(cells, properties).limit(max_features + 1)
-    gathered = features.agg(
-        F.sort_array(F.collect_list(F.struct("grid_id", "feature"))).alias("items"))
-    too_many = F.raise_error(F.lit(f"more than {max_features} features for one document"))
-    body = F.concat(
-        F.lit('{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "'
-              + CRS_NAME + '"}}, "features": ['),
-        F.array_join(F.col("items.feature"), ", "), F.lit("]}"),
-    )
-    document = F.when(F.size("items") > max_features, too_many.cast("string")).otherwise(body)
-    gathered.select(document.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+def write_feature_collection(cells: DataFrame, path: str, properties: list[str]) -> None:
+    """One FeatureCollection document of any size: a head line, one feature per line in order of
+    ``grid_id``, and a tail line. One task writes it, row by row; feature lines are the form
+    that all tasks write."""
+    features = cell_features(cells, properties)
+    first = features.agg(F.min("grid_id").alias("first"))
+    head = F.lit('{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "'
+                 + CRS_NAME + '"}}, "features": [')
+    frame = first.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit(None).cast("long").alias("grid_id"), head.alias("value")),
+        F.struct(F.lit(2).alias("part"), F.lit(None).cast("long").alias("grid_id"),
+                 F.lit("]}").alias("value")))).alias("line")).select("line.*")
+    comma = F.when(F.col("grid_id") == F.col("first"), "").otherwise(",")
+    lines = features.join(F.broadcast(first)).select(
+        F.lit(1).alias("part"), F.col("grid_id").cast("long").alias("grid_id"),
+        F.concat(comma, "feature").alias("value"))
+    frame.union(lines).orderBy("part", "grid_id").coalesce(1).select("value") \
+        .write.mode("overwrite").text(path)

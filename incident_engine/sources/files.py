@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +35,7 @@ def scan_csv_skip_long(spark: SparkSession, path: str, columns: list[str] | None
                  multiLine=str(multi_line).lower(), columnNameOfCorruptRecord=_LINE)
         .csv(path)
     )
-    unquoted = F.regexp_replace(_LINE, '"([^"]|"")*"', "")
+    unquoted = F.regexp_replace(_LINE, '"[^"]*"', "")
     separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(",")))
     # A line without text has exactly one field too many.
     fits = F.col(_LINE).isNotNull() & F.col(_EXTRA).isNull() & (separators < len(columns))
@@ -51,16 +50,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def optional_csv(spark: SparkSession, path: str | None, schema: str) -> DataFrame | None:
-    """A side table, or nothing when there is no path, no file or a bad header."""
+    """A side table, or nothing when there is no path or no file. A file whose header lacks a
+    column is an error: a default in its place would pass unnoticed."""
     if not path or not path_exists(spark, path):
         return None
     wanted = [part.split()[0].strip("`") for part in schema.split(",")]
-    try:
-        table = spark.read.option("header", "true").csv(path)
-        types = [part.split()[1] for part in schema.split(",")]
-        return table.select(*[F.col(n).try_cast(t).alias(n) for n, t in zip(wanted, types)])
-    except AnalysisException:
-        return None
+    table = spark.read.option("header", "true").csv(path)
+    types = [part.split()[1] for part in schema.split(",")]
+    if missing := [n for n in wanted if n not in table.columns]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return table.select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in zip(wanted, types)])
 
 
 _GEOMETRY = "struct<type: string, coordinates: string>"
@@ -73,17 +72,19 @@ def scan_geojson(spark: SparkSession, path: str, feature_lines: bool = False) ->
     """Boundary polygons as rings: ``polygon_id, part_no, ring_no, ring, properties``.
 
     Reads one FeatureCollection per file, or with ``feature_lines`` one feature
-    per line, which Spark can split. Rings come out closed.
+    per line, which Spark can split; a line given twice is one feature. Rings come
+    out closed. Ids tell apart the features of all files.
     """
     if feature_lines:
         features = spark.read.schema(_FEATURE_LINE).json(path)
         features = features.withColumn(
-            "polygon_id", F.xxhash64(F.to_json("properties"), "geometry.coordinates"))
+            "polygon_id", F.xxhash64(F.to_json("properties"), "geometry.coordinates")) \
+            .dropDuplicates(["polygon_id"])
     else:
         features = (
             spark.read.schema(_COLLECTION).option("multiLine", "true").json(path)
-            .select(F.posexplode("features").alias("polygon_id", "feature"))
-            .select(F.col("polygon_id").cast("bigint"), "feature.*")
+            .select(F.col("_metadata.file_path").alias("file"), F.posexplode("features").alias("place", "feature"))
+            .select(F.xxhash64("file", "place").alias("polygon_id"), "feature.*")
         )
     shape = F.col("geometry.coordinates")
     # A polygon is a multi-polygon of one part.

@@ -46,7 +46,7 @@ SEATTLE = FeedSpec("seattle", SEATTLE_RECORD, seattle_view)
 
 
 def start_feed(spark: SparkSession, feed: FeedSpec, source: MessageSource, output: str,
-               checkpoint: str, files: int | None = 1, poll: str | None = POLL) -> StreamingQuery:
+               checkpoint: str, files: int | None = None, poll: str | None = POLL) -> StreamingQuery:
     """Start one feed. With ``poll=None`` it takes what is there and ends.
 
     The layout is applied before ``foreachBatch``, so that the batch holds the

@@ -6,7 +6,7 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import PySparkException
 from pyspark.sql.streaming import StreamingQuery
 
 log = logging.getLogger(__name__)
@@ -16,20 +16,22 @@ def run_with_restart(start: Callable[[], StreamingQuery], max_restarts: int | No
                      wait_seconds: float = 30.0) -> int:
     """Run until the query ends by itself; returns how often it was restarted.
 
-    A failure stops the query, waits, and starts it again from its checkpoint.
+    A failure, also of the start, stops the query, waits, and starts it again from its checkpoint.
     With ``max_restarts`` the failure after the last restart is raised.
     """
     restarts = 0
     while True:
-        query = start()
+        query = None
         try:
+            query = start()
             query.awaitTermination()
             return restarts
-        except StreamingQueryException:
+        except PySparkException:
             if max_restarts is not None and restarts >= max_restarts:
                 raise
-            log.exception("query %s failed; restart %d follows", query.name, restarts + 1)
+            log.exception("query %s failed; restart %d follows", query and query.name, restarts + 1)
         finally:
-            query.stop()
+            if query is not None:
+                query.stop()
         restarts += 1
         time.sleep(wait_seconds)

@@ -1,4 +1,4 @@
-"""Work list, requests, and the cap on polygon and month."""
+"""Work list, requests, and collection by polygon and month."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from incident_engine.functions.geo import GridSpec
 from incident_engine.operators import spatial
 from incident_engine.plans import collect
-from incident_engine.schemas import POLYGON_CAP
 
 GRID = GridSpec(0.0, 0.0, 2.0, 1.0, 0.25)
 
@@ -35,17 +34,20 @@ def test_no_request_for_an_empty_polygon(spark):
     assert [r["neighbourhood"] for r in collect.requests(work, polygons).collect()] == ["2"]
 
 
-def test_cap_at_its_default(spark, cover):
-    """Exactly 10,000 hits pass, 10,001 yield nothing."""
-    sizes = {("a", "m1"): POLYGON_CAP, ("a", "m2"): POLYGON_CAP + 1, ("b", "m1"): 3}
+def test_all_incidents_of_a_polygon_are_collected(spark, cover):
+    """Also of one with many more than a request to the feed's service would return."""
+    sizes = {("a", "m1"): 10_000, ("a", "m2"): 10_001, ("b", "m1"): 3}
     points = None
     for (name, month), n in sizes.items():
         x = 0.3 if name == "a" else 1.3
         part = spark.range(n).select(F.lit(x).alias("lon"), F.lit(0.3).alias("lat"), F.lit(month).alias("month"), "id")
         points = part if points is None else points.union(part)
     outside = spark.range(50).selectExpr("1.9D as lon", "0.9D as lat", "'m1' as month", "id")
-    got = collect.collect_in_polygons(points.union(outside), cover, GRID, ["neighbourhood"])
+    got = collect.collect_in_polygons(points.union(outside), cover, GRID)
     counts = {(r["neighbourhood"], r["month"]): r["count"]
               for r in got.groupBy("neighbourhood", "month").count().collect()}
-    assert counts == {("a", "m1"): POLYGON_CAP, ("b", "m1"): 3}
+    assert counts == sizes
     assert set(got.columns) == {"neighbourhood", "month", "lon", "lat", "id"}
+    work = spark.createDataFrame([("a", "m2"), ("a", "m2"), ("b", "m9")], "neighbourhood string, month string")
+    chosen = collect.collect_by_worklist(points, work, cover, GRID, ["neighbourhood"])
+    assert chosen.count() == 10_001

@@ -42,7 +42,8 @@ def test_optional_csv(spark, tmp_path):
     good = write(tmp_path / "good.csv", "month,year,AREA,unemployment_rate,x\n2,2020,7,4.5,z\n")
     bad = write(tmp_path / "bad.csv", "a,b\n1,2\n")
     assert tuple(files.optional_csv(spark, good, ddl).first()) == (2020, 2, "7", 4.5)
-    assert files.optional_csv(spark, bad, ddl) is None
+    with pytest.raises(ValueError, match="has no column"):
+        files.optional_csv(spark, bad, ddl)
     assert files.optional_csv(spark, str(tmp_path / "none.csv"), ddl) is None
     assert files.optional_csv(spark, None, ddl) is None
 
@@ -90,9 +91,31 @@ def test_feature_collection_and_back(spark, tmp_path):
     assert files.scan_geojson(spark, out).count() == 3
 
 
-def test_feature_collection_is_never_cut(spark, tmp_path):
-    with pytest.raises(PySparkException, match="more than 2 features"):
-        sinks.write_feature_collection(cells(spark), str(tmp_path / "x"), ["grid_id"], max_features=2)
+def test_feature_collection_of_any_size(spark, tmp_path):
+    sinks.write_feature_collection(cells(spark, 500), str(tmp_path / "x"), ["grid_id"])
+    sinks.write_feature_collection(cells(spark, 0), str(tmp_path / "none"), ["grid_id"])
+    for name, n in (("x", 500), ("none", 0)):
+        part, = [p for p in os.listdir(tmp_path / name) if p.startswith("part")]
+        assert len(json.loads(open(tmp_path / name / part).read())["features"]) == n
+
+
+def test_ids_of_two_boundary_files_differ(spark, tmp_path):
+    for name in ("one", "two"):
+        sinks.write_feature_collection(cells(spark, 1), str(tmp_path / "b" / name), ["grid_id"])
+    rows = files.scan_geojson(spark, str(tmp_path / "b" / "*")).collect()
+    assert len(rows) == len({r["polygon_id"] for r in rows}) == 2
+
+
+def test_a_repeated_feature_line_is_one_feature(spark, tmp_path):
+    sinks.write_feature_lines(cells(spark, 2).union(cells(spark, 2)), str(tmp_path / "f"), ["grid_id"])
+    assert files.scan_geojson(spark, str(tmp_path / "f"), feature_lines=True).count() == 2
+
+
+def test_long_quoted_fields_are_read(spark, tmp_path):
+    long = "x" * 100_000 + '""' + "y,z"
+    (tmp_path / "long.csv").write_text(f'a,b\n1,"{long}"\n2,3,4\n5,6\n')
+    rows = files.scan_csv_skip_long(spark, str(tmp_path / "long.csv")).collect()
+    assert [r["a"] for r in rows] == ["1", "5"] and len(rows[0]["b"]) == 100_004
 
 
 def test_feature_lines_and_back(spark, tmp_path):

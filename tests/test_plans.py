@@ -160,10 +160,9 @@ class Session:
 
 def test_workspace_is_the_folder_the_session_names():
     assert workspace_dir(Session("yarn", "hdfs://n/cp")) == "hdfs://n/cp/incident_engine/app-1"
-    with pytest.raises(ValueError, match=CHECKPOINT_KEY):
-        workspace_dir(Session("yarn"))
-    alone = Session("local[4]")
-    assert workspace_dir(alone) == workspace_dir(alone) == f"{alone.folder}/incident_engine/app-1"
+    warehouse = Session("yarn")
+    warehouse.conf["spark.sql.warehouse.dir"] = "hdfs://n/wh"
+    assert workspace_dir(warehouse) == "hdfs://n/wh/incident_engine/app-1"
 
 
 def test_materialized_tables_are_in_the_workspace(spark):
