@@ -10,8 +10,8 @@ from conftest import SMALL
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from incident_engine.catalog import feeds
+from incident_engine.catalog.queries import QUERIES
 from incident_engine.functions.geo import GridSpec
 from incident_engine.operators import spatial
 from incident_engine.plans import collect, incidents
@@ -25,9 +25,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_joins_and_no_row_udfs(spark, name):
-    plan = plan_of(entry_points.queries()[name](spark, SMALL))
+    plan = plan_of(QUERIES[name](spark, SMALL))
     for node in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "Scan ExistingRDD"):
         assert node not in plan
 
@@ -35,21 +35,21 @@ def test_no_pair_joins_and_no_row_udfs(spark, name):
 @pytest.mark.parametrize("name", ["unified_incidents", "chi_sink_layout", "sea_format",
                                   "archive_merge", "pull_since_mark", "sink_keyed_json"])
 def test_row_work_does_not_shuffle(spark, name):
-    assert "Exchange" not in plan_of(entry_points.queries()[name](spark, SMALL))
+    assert "Exchange" not in plan_of(QUERIES[name](spark, SMALL))
 
 
 def test_hot_spots_shuffle_once_by_cell(spark):
-    plan = plan_of(entry_points.queries()["hotspot_rank"](spark, SMALL))
+    plan = plan_of(QUERIES["hotspot_rank"](spark, SMALL))
     assert plan.count("Exchange hashpartitioning") == 1 and "TakeOrderedAndProject" in plan
 
 
 def test_series_windows_share_one_shuffle(spark):
-    plan = plan_of(entry_points.queries()["forecast_mse"](spark, SMALL))
+    plan = plan_of(QUERIES["forecast_mse"](spark, SMALL))
     assert plan.count("Exchange hashpartitioning") == 2  # the count, then the area
 
 
 def test_only_the_columns_in_use_are_read(spark):
-    plan = plan_of(entry_points.queries()["area_month_counts"](spark, SMALL))
+    plan = plan_of(QUERIES["area_month_counts"](spark, SMALL))
     assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in plan
 
 

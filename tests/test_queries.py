@@ -5,9 +5,9 @@ from compare import connect, difference
 from conftest import MEDIUM
 
 import __spark_entry__ as entry_points
+from incident_engine.catalog.oracle import ORACLE
+from incident_engine.catalog.queries import QUERIES
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
 ROWS_ONLY = {"forecast_fit"}
 
 
@@ -20,7 +20,8 @@ def con():
 
 def test_only_the_ridge_fit_has_no_sql():
     assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
