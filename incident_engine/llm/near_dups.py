@@ -156,18 +156,21 @@ def _pairs(entries: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _candidates(sketched: DataFrame) -> DataFrame:
-    """Distinct pairs of text ids that meet in a bucket. ``sketched``: id, sketches."""
-    entries = sketched.select("id", "sketches", F.posexplode("sketches").alias("t", "k1"))
-    entries = entries.select("id", "sketches", "t", "k1")
+    """Distinct pairs of text ids that meet in a bucket. ``sketched``: id, sketches.
+
+    Entries travel without the other sketches of their text; only those of large buckets look
+    them up. Both sides of these joins grow with the corpus, so they are merged at every size.
+    """
+    entries = sketched.select("id", F.posexplode("sketches").alias("t", "k1"))
     keys, found = ["t", "k1"], []
     for level in range(len(SHIFTS) + 1):
         sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         sizes = materialize(sizes, "near-sizes")
-        met = entries.join(sizes, keys)
+        met = entries.join(sizes.hint("merge"), keys)
         if level == 0:
             popular = materialize(met.groupBy("id").agg(F.sum("n").alias("popular")),
                                   "near-popular")
-            met = met.join(popular, "id")
+            met = met.join(popular.hint("merge"), "id")
         met = materialize(met, "near-entries")
         found.append(_pairs(met.select(*keys, "id", "n", "popular"), keys))
         if level == len(SHIFTS):
@@ -178,8 +181,9 @@ def _candidates(sketched: DataFrame) -> DataFrame:
         step = F.explode(F.array(*[F.lit(s) for s in SHIFTS[level]])).alias("s")
         name = f"k{level + 2}"
         # the next key: which further sketch, and its value
-        split = large.select("id", "sketches", "popular", *keys, step).select(
-            "id", "sketches", "popular", *keys,
+        known = large.select("id", "popular", *keys).join(sketched.hint("merge"), "id")
+        split = known.select("id", "sketches", "popular", *keys, step).select(
+            "id", "popular", *keys,
             F.xxhash64("s", F.element_at("sketches", (F.col("t") + F.col("s")) % SKETCHES + 1))
             .alias(name))
         keys = [*keys, name]
