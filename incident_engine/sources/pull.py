@@ -60,15 +60,17 @@ def save_mark(spark: SparkSession, path: str, feed: str, mark: str | None) -> bo
     return True
 
 
-def pull_once(table: DataFrame, update_field: str, state: str, feed: str, sink) -> int:
+def pull_once(table: DataFrame, update_field: str, state: str, feed: str, sink,
+              inclusive: bool = False, key: str | None = None) -> int:
     """One pull cycle; returns the number of rows handed to ``sink(rows)``.
 
     The sink runs over the table once; the new mark is observed on the way and
     saved only after the sink came back. A failed sink leaves the mark alone,
-    so the next cycle sends the same rows again and none is lost.
+    so the next cycle sends the same rows again and none is lost. ``inclusive``
+    and ``key`` are those of ``rows_since``.
     """
     spark = table.sparkSession
-    rows = rows_since(table, update_field, load_mark(spark, state, feed))
+    rows = rows_since(table, update_field, load_mark(spark, state, feed), inclusive, key)
     seen = Observation(f"pull-{feed}")
     latest = F.max(F.col(update_field).cast("string"))
     sink(rows.observe(seen, F.count(F.lit(1)).alias("rows"), latest.alias("mark")))

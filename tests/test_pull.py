@@ -91,3 +91,17 @@ def test_filter_reaches_the_scan(spark, table, tmp_path):
     df = pull.rows_since(spark.read.parquet(str(tmp_path / "t")), "updated_on", "2025-01-02")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(updated_on,2025-01-02)" in plan
+
+
+def test_late_rows_at_the_mark_are_pulled_when_inclusive(spark, tmp_path):
+    state, sent = str(tmp_path / "marks"), []
+    early = spark.createDataFrame([("a", "2024-01-01")], "id string, updated string")
+    late = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01")], early.schema)
+
+    def sink(rows):
+        sent.append(sorted(r["id"] for r in rows.collect()))
+
+    assert pull.pull_once(early, "updated", state, "f", sink, inclusive=True, key="id") == 1
+    assert pull.pull_once(late, "updated", state, "f", sink) == 0
+    assert pull.pull_once(late, "updated", state, "f", sink, inclusive=True, key="id") == 2
+    assert sent == [["a"], [], ["a", "b"]]
