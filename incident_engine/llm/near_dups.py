@@ -11,7 +11,10 @@ No bucket is expanded into all its pairs. A bucket of up to ``SMALL`` texts give
 bounded number per text. In a larger one each text is paired with a few leaders, the texts that
 meet most others over all sketches, and the bucket is split by a second and a third sketch, whose
 buckets are treated alike; so groups of any size are linked through their centre, and the texts
-far from the centre through finer buckets.
+far from the centre through finer buckets. A large bucket of three sketches that still holds more
+than one class is gone through in rounds: texts outside its largest class become leaders, twice as
+many each round, and meet all texts of other classes there, until it holds one class or each of
+them has met all others. So no near pair of such a bucket stays in two classes.
 
 Texts of fewer than five words are one shingle; texts without a word equal only themselves. Null
 texts count as empty. Rows with equal ids are told apart by their text; class ids are the smallest
@@ -155,14 +158,15 @@ def _pairs(entries: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.select("p.a", "p.b").union(star)
 
 
-def _candidates(sketched: DataFrame) -> DataFrame:
-    """Distinct pairs of text ids that meet in a bucket. ``sketched``: id, sketches.
+def _candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct pairs of text ids that meet in a bucket, and the large buckets of the last level
+    as (bucket, id), if that level was reached. ``sketched``: id, sketches.
 
     Entries travel without the other sketches of their text; only those of large buckets look
     them up. Both sides of these joins grow with the corpus, so they are merged at every size.
     """
     entries = sketched.select("id", F.posexplode("sketches").alias("t", "k1"))
-    keys, found = ["t", "k1"], []
+    keys, found, rest = ["t", "k1"], [], None
     for level in range(len(SHIFTS) + 1):
         sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         sizes = materialize(sizes, "near-sizes")
@@ -173,9 +177,10 @@ def _candidates(sketched: DataFrame) -> DataFrame:
             met = met.join(popular.hint("merge"), "id")
         met = materialize(met, "near-entries")
         found.append(_pairs(met.select(*keys, "id", "n", "popular"), keys))
+        large = met.filter(F.col("n") > SMALL)
         if level == len(SHIFTS):
+            rest = large.select(F.xxhash64(*keys).alias("bucket"), "id")
             break
-        large = met.filter(F.col("n") > SMALL)
         if large.isEmpty():
             break
         step = F.explode(F.array(*[F.lit(s) for s in SHIFTS[level]])).alias("s")
@@ -191,20 +196,50 @@ def _candidates(sketched: DataFrame) -> DataFrame:
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    return materialize(pairs.distinct(), "near-pairs")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs that are near. ``texts``: id, text. Words travel as 32-bit ids."""
-    def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return materialize(pairs.distinct(), "near-pairs"), rest
+
+
+def _bridges(rest: DataFrame, roots: DataFrame, met: DataFrame | None, step: int):
+    """Pairs that may join two classes of one large bucket, and the (bucket, id) of all leaders
+    so far; None if no text is left to lead. ``met``: the leaders of the rounds before."""
+    placed = rest.join(roots.hint("merge"), "id", "left").select(
+        "bucket", "id", F.coalesce("root", "id").alias("root"))
+    divided = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
+        .filter("lo != hi").select("bucket")
+    members = materialize(placed.join(divided, "bucket"), "near-divided")
+    main = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    outside = members.join(main, "bucket").filter("root != main").drop("main")
+    if met is not None:
+        outside = outside.join(met, ["bucket", "id"], "left_anti")
+    lead = materialize(
+        outside.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(step)),
+                                         F.lit(LEADERS << step)).alias("c"))
+        .agg(F.min(F.struct("id", "root")).alias("l"))
+        .select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root")),
+        "near-leaders")
+    if lead.isEmpty():
+        return None
+    pairs = members.join(lead, "bucket").filter("root != lead_root").select(
+        F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+    leaders = lead.select("bucket", F.col("lead").alias("id"))
+    return pairs, leaders if met is None else met.union(leaders)
+
+
+def _words(texts: DataFrame) -> DataFrame:
+    """The words of ``texts`` (id, text) as 32-bit ids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [(word_ids(t) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
                    for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(ids, pa.binary())],
                                              names=["id", "words"])
 
-    words = materialize(texts.mapInArrow(to_ids, "id long, words binary"),
-                        "near-words")
+    return materialize(texts.mapInArrow(run, "id long, words binary"), "near-words")
+
+
+def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """The pairs that are near. ``words``: id, words as 32-bit ids."""
     joined = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a") \
         .join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
 
@@ -231,7 +266,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = materialize(groups.select(
         "hash", "low", "sketches", F.monotonically_increasing_id().alias("id")), "near-texts")
     ids = groups.select("hash", "low", "id")
-    pairs = _candidates(groups.select("id", "sketches"))
+    pairs, rest = _candidates(groups.select("id", "sketches"))
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     holders = ids.join(wanted, "id").select(
         "id", "hash", F.coalesce("low", F.lit(-(1 << 62))).alias("holder"))
@@ -239,8 +274,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # with the corpus, so it is merged at every size
     texts = hashed.withColumn("holder", F.coalesce("doc_id", F.lit(-(1 << 62)))) \
         .join(holders.hint("merge"), ["holder", "hash"]).select("id", "text")
-    links = materialize(_verified(pairs, texts, least).distinct(), "near-links")
+    words = _words(texts)
+    links = materialize(_verified(pairs, words, least).distinct(), "near-links")
     roots = components(links, "near")
+    met, step = None, 0
+    while rest is not None and (more := _bridges(rest, roots, met, step)):
+        (bridges, met), step = more, step + 1
+        fresh = materialize(bridges.join(pairs.hint("merge"), ["a", "b"], "left_anti"),
+                            "near-bridges")
+        pairs = pairs.union(fresh)
+        added = materialize(_verified(fresh, words, least), "near-links")
+        if not added.isEmpty():
+            links = links.union(added)
+            roots = components(links, "near")
     degree = links.select(F.col("a").alias("id")).union(links.select("b")) \
         .groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     named = ids.join(roots, "id", "left").select(

@@ -143,6 +143,39 @@ def test_large_groups_are_linked_through_their_centre(spark):
     assert len(kept) == len(set(kept)) == len(set(got.values()))
 
 
+def test_rounds_compare_all_texts_of_different_classes(spark):
+    """A bucket with one large class, a class of two and texts of their own, next to a bucket of
+    one class: the rounds give exactly the pairs between classes, each text leading at most once."""
+    root = {i: 0 if i < 30 else 40 if i in (40, 41) else i for i in range(60)}
+    rest = spark.createDataFrame([(1, i) for i in root] + [(2, i) for i in range(20)],
+                                 "bucket long, id long")
+    roots = spark.createDataFrame(
+        [(i, r) for i, r in root.items() if r in (0, 40)], "id long, root long")
+    found, met, step = set(), None, 0
+    while more := near_dups._bridges(rest, roots, met, step):
+        (pairs, met), step = more, step + 1
+        found |= {tuple(r) for r in pairs.collect()}
+    assert found == {(a, b) for a in root for b in root if a < b and root[a] != root[b]}
+    assert step <= 7
+    led = [tuple(r) for r in met.collect()]
+    assert len(led) == len(set(led)) == 30
+
+
+def test_chains_in_large_buckets_stay_whole(spark, monkeypatch):
+    """Each text is near only to the one before and after it, and every bucket counts as large."""
+    monkeypatch.setattr(near_dups, "SMALL", 2)
+    monkeypatch.setattr(near_dups, "LEADERS", 1)
+    rng = random.Random(5)
+    words = [f"w{rng.randint(0, 10**9)}" for _ in range(300)]
+    rows = []
+    for i in range(30):
+        rows.append((i, " ".join(words)))
+        for _ in range(4):
+            words[rng.randrange(300)] = f"v{rng.randint(0, 10**9)}"
+    got = near_dups.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.class_id for r in got} == {0}
+
+
 def test_near_classes_of_odd_rows(odd, empty):
     got = near_dups.near_classes(odd).collect()
     assert len(got) == odd.count()
