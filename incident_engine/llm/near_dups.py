@@ -12,9 +12,10 @@ bounded number per text. In a larger one each text is paired with a few leaders,
 meet most others over all sketches, and the bucket is split by a second and a third sketch, whose
 buckets are treated alike; so groups of any size are linked through their centre, and the texts
 far from the centre through finer buckets. A large bucket of three sketches that still holds more
-than one class is gone through in rounds: texts outside its largest class become leaders, twice as
-many each round, and meet all texts of other classes there, until it holds one class or each of
-them has met all others. So no near pair of such a bucket stays in two classes.
+than one class is gone through in rounds: texts outside its largest class become leaders, four
+times as many each round, and meet all texts of other classes there, until it holds one class or
+each of them has met all others. So no near pair of such a bucket stays in two classes. The price
+is one pair for each two texts of such a bucket that are in different classes, be they near or not.
 
 Texts of fewer than five words are one shingle; texts without a word equal only themselves. Null
 texts count as empty. Rows with equal ids are told apart by their text; class ids are the smallest
@@ -214,7 +215,7 @@ def _bridges(rest: DataFrame, roots: DataFrame, met: DataFrame | None, step: int
         outside = outside.join(met, ["bucket", "id"], "left_anti")
     lead = materialize(
         outside.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(step)),
-                                         F.lit(LEADERS << step)).alias("c"))
+                                         F.lit(LEADERS << 2 * step)).alias("c"))
         .agg(F.min(F.struct("id", "root")).alias("l"))
         .select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root")),
         "near-leaders")
