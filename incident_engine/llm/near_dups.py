@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ SKETCHES, TAKEN = 16, 3
 SMALL = 6
 #: Leaders of a larger bucket, and the further sketches that split it, level by level.
 LEADERS, SHIFTS = 3, ((1, 5), (2, 7))
+#: Texts whose words and shingles a task keeps while it checks pairs.
+KEPT_SETS = 128
 
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 
@@ -119,15 +122,27 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return most + 1
 
 
-def near(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Do two sequences of word ids lie within ``least`` on shingles and on the alignment?"""
-    one, two = np.unique(shingles(a)), np.unique(shingles(b))
+def _with_set(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return ids, np.unique(shingles(ids))
+
+
+def _alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
+           least: float) -> bool:
+    """``near`` of two texts that come with their sets of shingles."""
+    one, two = a[1], b[1]
+    if min(len(one), len(two)) < least * max(len(one), len(two)):
+        return False
     both = len(np.intersect1d(one, two, assume_unique=True))
     if both < least * (len(one) + len(two) - both):
         return False
-    longest = max(len(a), len(b))
+    longest = max(len(a[0]), len(b[0]))
     most = int((1 - least) * longest + 1e-9)
-    return edit_distance(a, b, most) <= most
+    return edit_distance(a[0], b[0], most) <= most
+
+
+def near(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Do two sequences of word ids lie within ``least`` on shingles and on the alignment?"""
+    return _alike(_with_set(a), _with_set(b), least)
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
@@ -245,10 +260,12 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
         .join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a leader's pairs come in a row, so its set is built once
+        known = lru_cache(KEPT_SETS)(
+            lambda words: _with_set(np.frombuffer(words, "<u4").astype(np.uint64)))
         for batch in batches:
-            keep = [near(np.frombuffer(a, "<u4").astype(np.uint64),
-                         np.frombuffer(b, "<u4").astype(np.uint64), least)
-                    for a, b in zip(batch["wa"].to_pylist(), batch["wb"].to_pylist(), strict=True)]
+            keep = [_alike(known(a), known(b), least) for a, b in zip(
+                batch["wa"].to_pylist(), batch["wb"].to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return joined.select("a", "b", "wa", "wb").mapInArrow(check, "a long, b long")
