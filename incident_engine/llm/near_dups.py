@@ -7,15 +7,16 @@ Texts with an equal sketch meet in a bucket. Two texts are near if the Jaccard s
 sets of five-word shingles and the similarity of an edit alignment of their words are both 0.8 or
 more. Classes are the connected components of near pairs; equal texts share a class anyway.
 
-No bucket is expanded into all its pairs. A bucket of up to ``SMALL`` texts gives its pairs, a
-bounded number per text. In a larger one each text is paired with a few leaders, the texts that
-meet most others over all sketches, and the bucket is split by a second and a third sketch, whose
-buckets are treated alike; so groups of any size are linked through their centre, and the texts
-far from the centre through finer buckets. A large bucket of three sketches that still holds more
-than one class is gone through in rounds: texts outside its largest class become leaders, four
-times as many each round, and meet all texts of other classes there, until it holds one class or
-each of them has met all others. So no near pair of such a bucket stays in two classes. The price
-is one pair for each two texts of such a bucket that are in different classes, be they near or not.
+No bucket is expanded into all its pairs. A bucket of up to ``SMALL`` texts gives its pairs. In a
+larger one each text is paired with a few leaders, the texts that meet most others over all
+sketches. The texts of all larger buckets are then dealt anew by an exact key: of the shingles of a
+text, rare ones first, each of the first n - ceil(0.8 n) + 1, one of which two near texts share. These
+buckets are gone through in rounds: in each that still holds more than one class, texts outside its
+largest class become leaders, four times as many each round, and meet all texts of other classes
+there, until it holds one class or each of them has met all others. Pairs whose sizes or places of
+the shared shingle rule out 0.8 are left out. So no near pair that meets in a bucket stays in two
+classes, and the only near pairs missed are those that share no sketch at all. The price is up to
+one pair for each two texts of a hot group that are in different classes, be they near or not.
 
 Texts of fewer than five words are one shingle; texts without a word equal only themselves. Null
 texts count as empty. Rows with equal ids are told apart by their text; class ids are the smallest
@@ -38,10 +39,10 @@ from .common import components, materialize, mix, narrow, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, TAKEN = 16, 3
-#: Texts of a bucket that gives all its pairs.
-SMALL = 6
-#: Leaders of a larger bucket, and the further sketches that split it, level by level.
-LEADERS, SHIFTS = 3, ((1, 5), (2, 7))
+#: Texts of a bucket that gives all its pairs, and leaders of a larger one.
+SMALL, LEADERS = 6, 3
+#: Slots in which shingles are counted to put rare ones first; any order gives the same classes.
+SLOTS = 1 << 22
 #: Texts whose words and shingles a task keeps while it checks pairs.
 KEPT_SETS = 128
 
@@ -174,52 +175,82 @@ def _pairs(entries: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.select("p.a", "p.b").union(star)
 
 
-def _candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct pairs of text ids that meet in a bucket, and the large buckets of the last level
-    as (bucket, id), if that level was reached. ``sketched``: id, sketches.
+def _candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs of text ids that meet in a bucket, and the ids of the texts in large
+    buckets, whose other pairs are still to be found. ``sketched``: id, sketches.
 
-    Entries travel without the other sketches of their text; only those of large buckets look
-    them up. Both sides of these joins grow with the corpus, so they are merged at every size.
+    Entries travel without the other sketches of their text. Both sides of these joins grow with
+    the corpus, so they are merged at every size.
     """
     entries = sketched.select("id", F.posexplode("sketches").alias("t", "k1"))
-    keys, found, rest = ["t", "k1"], [], None
-    for level in range(len(SHIFTS) + 1):
-        sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sizes = materialize(sizes, "near-sizes")
-        met = entries.join(sizes.hint("merge"), keys)
-        if level == 0:
-            popular = materialize(met.groupBy("id").agg(F.sum("n").alias("popular")),
-                                  "near-popular")
-            met = met.join(popular.hint("merge"), "id")
-        met = materialize(met, "near-entries")
-        found.append(_pairs(met.select(*keys, "id", "n", "popular"), keys))
-        large = met.filter(F.col("n") > SMALL)
-        if level == len(SHIFTS):
-            rest = large.select(F.xxhash64(*keys).alias("bucket"), "id")
-            break
-        if large.isEmpty():
-            break
-        step = F.explode(F.array(*[F.lit(s) for s in SHIFTS[level]])).alias("s")
-        name = f"k{level + 2}"
-        # the next key: which further sketch, and its value
-        known = large.select("id", "popular", *keys).join(sketched.hint("merge"), "id")
-        split = known.select("id", "sketches", "popular", *keys, step).select(
-            "id", "popular", *keys,
-            F.xxhash64("s", F.element_at("sketches", (F.col("t") + F.col("s")) % SKETCHES + 1))
-            .alias(name))
-        keys = [*keys, name]
-        entries = split
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    return materialize(pairs.distinct(), "near-pairs"), rest
-
-
-def _bridges(rest: DataFrame, roots: DataFrame, met: DataFrame | None, step: int):
+    keys = ["t", "k1"]
+    sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = materialize(sizes, "near-sizes")
+    met = entries.join(sizes.hint("merge"), keys)
+    popular = materialize(met.groupBy("id").agg(F.sum("n").alias("popular")), "near-popular")
+    met = materialize(met.join(popular.hint("merge"), "id"), "near-entries")
+    pairs = materialize(_pairs(met.select(*keys, "id", "n", "popular"), keys).distinct(),
+                        "near-pairs")
+    return pairs, materialize(met.filter(F.col("n") > SMALL).select("id").distinct(), "near-large")
+
+
+def _prefixes(words: DataFrame, least: float) -> DataFrame:
+    """Buckets (bucket, id, place, size) by prefix filter. Two of ``words`` (id, words) that are
+    near share one of their first ``size`` - ceil(``least`` * ``size``) + 1 shingles, if all texts
+    have theirs in one order; here rare ones come first, by counts in hashed slots."""
+    def sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        return (_with_set(np.frombuffer(w, "<u4").astype(np.uint64))[1]
+                for w in batch["words"].to_pylist())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for grams in sets(batch):
+                np.add.at(counts, grams % np.uint64(SLOTS), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
+
+    table = words.mapInArrow(count, "slot long, n long").groupBy("slot").agg(
+        F.sum("n").alias("n")).toArrow()  # at most SLOTS rows, whatever the corpus
+    totals = np.zeros(SLOTS, np.int32)
+    totals[table["slot"].to_numpy()] = np.minimum(table["n"].to_numpy(), np.iinfo(np.int32).max)
+    shared = words.sparkSession.sparkContext.broadcast(totals)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for id_, grams in zip(batch["id"].to_pylist(), sets(batch), strict=True):
+                n, seen = len(grams), shared.value[grams % np.uint64(SLOTS)]
+                order = np.lexsort((grams, seen))[:n - int(np.ceil(least * n - 1e-9)) + 1]
+                place = np.flatnonzero(seen[order] > 1)  # a shingle counted once has no partner
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams[order[place]].view(np.int64)),
+                     pa.array(np.full(len(place), id_, np.int64)), pa.array(place),
+                     pa.array(np.full(len(place), n, np.int64))],
+                    names=["bucket", "id", "place", "size"])
+
+    found = materialize(words.mapInArrow(cut, "bucket long, id long, place long, size long"),
+                        "near-prefixes")
+    several = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return materialize(found.join(several.select("bucket").hint("merge"), "bucket"), "near-shared")
+
+
+def _may(least: float):
+    """May the texts of two entries of a prefix bucket be near, by sizes and by what is left of
+    both behind the shared shingle? True in the bucket of the first one that two near texts share."""
+    one, two = F.col("size"), F.col("lead_size")
+    left = F.least(one - F.col("place"), two - F.col("lead_place"))
+    return (F.least(one, two) >= least * F.greatest(one, two) - 1e-6) & (
+        left >= least / (1 + least) * (one + two) - 1e-6)
+
+
+def _bridges(rest: DataFrame, roots: DataFrame, met: DataFrame | None, step: int,
+             least: float | None = None):
     """Pairs that may join two classes of one large bucket, and the (bucket, id) of all leaders
-    so far; None if no text is left to lead. ``met``: the leaders of the rounds before."""
+    so far; None if no text is left to lead. ``met``: the leaders of the rounds before. With
+    ``least``, ``rest`` has place and size too, and pairs that these rule out are left out."""
+    more = [] if least is None else ["place", "size"]
     placed = rest.join(roots.hint("merge"), "id", "left").select(
-        "bucket", "id", F.coalesce("root", "id").alias("root"))
+        "bucket", "id", *more, F.coalesce("root", "id").alias("root"))
     divided = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
         .filter("lo != hi").select("bucket")
     members = materialize(placed.join(divided, "bucket"), "near-divided")
@@ -231,12 +262,16 @@ def _bridges(rest: DataFrame, roots: DataFrame, met: DataFrame | None, step: int
     lead = materialize(
         outside.groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(step)),
                                          F.lit(LEADERS << 2 * step)).alias("c"))
-        .agg(F.min(F.struct("id", "root")).alias("l"))
-        .select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root")),
+        .agg(F.min(F.struct("id", "root", *more)).alias("l"))
+        .select("bucket", F.col("l.id").alias("lead"), F.col("l.root").alias("lead_root"),
+                *[F.col(f"l.{x}").alias(f"lead_{x}") for x in more]),
         "near-leaders")
     if lead.isEmpty():
         return None
-    pairs = members.join(lead, "bucket").filter("root != lead_root").select(
+    across = members.join(lead, "bucket").filter("root != lead_root")
+    if least is not None:
+        across = across.filter(_may(least))
+    pairs = across.select(
         F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
     leaders = lead.select("bucket", F.col("lead").alias("id"))
     return pairs, leaders if met is None else met.union(leaders)
@@ -284,7 +319,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = materialize(groups.select(
         "hash", "low", "sketches", F.monotonically_increasing_id().alias("id")), "near-texts")
     ids = groups.select("hash", "low", "id")
-    pairs, rest = _candidates(groups.select("id", "sketches"))
+    pairs, large = _candidates(groups.select("id", "sketches"))
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     holders = ids.join(wanted, "id").select(
         "id", "hash", F.coalesce("low", F.lit(-(1 << 62))).alias("holder"))
@@ -296,7 +331,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = materialize(_verified(pairs, words, least).distinct(), "near-links")
     roots = components(links, "near")
     met, step = None, 0
-    while rest is not None and (more := _bridges(rest, roots, met, step)):
+    rest = None if large.isEmpty() else _prefixes(words.join(large, "id"), least)
+    while rest is not None and (more := _bridges(rest, roots, met, step, least)):
         (bridges, met), step = more, step + 1
         fresh = materialize(bridges.join(pairs.hint("merge"), ["a", "b"], "left_anti"),
                             "near-bridges")

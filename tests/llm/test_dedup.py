@@ -176,6 +176,44 @@ def test_chains_in_large_buckets_stay_whole(spark, monkeypatch):
     assert {r.class_id for r in got} == {0}
 
 
+def test_near_pairs_of_a_hot_template_match_brute_force(spark):
+    """Texts from one template that resemble each other at less than 0.8, each with a partner at
+    0.80 to 0.85: buckets of one and of two sketches are large, and some partners share no third."""
+    rng = random.Random(7)
+    base = [f"w{rng.randint(0, 10**9)}" for _ in range(220)]
+
+    def edited(words, places):
+        out = words[:]
+        for i in places:
+            out[i] = f"v{rng.randint(0, 10**9)}"
+        return out
+
+    texts = []
+    for _ in range(200):
+        places = rng.sample(range(3, 217, 6), 8)
+        one = edited(base, places[:4])
+        texts += [one, edited(one, places[4:])]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    words = [near_dups.word_ids(t) for _, t in rows]
+    sets = [set(near_dups.shingles(w).tolist()) for w in words]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= 0.79 * (len(sets[a]) + len(sets[b]) - both) and near_dups.near(words[a], words[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    assert sum(find(i) == i for i in root) > 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dups.near_classes(docs).collect()}
+    assert got == {i: find(i) for i in range(len(rows))}
+
+
 def test_near_classes_of_odd_rows(odd, empty):
     got = near_dups.near_classes(odd).collect()
     assert len(got) == odd.count()
