@@ -13,22 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_engine.llm import decontaminate, near_dups, packing, suffixes, toxicity
-from incident_engine.llm.common import read
+from incident_engine.llm.common import read, text_hash
 from incident_engine.llm.queries import TOKENIZER
 from incident_engine.session import workspace_dir
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose id is not among those of ``rejected``."""
-    ids = rejected.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """The rows whose id and text are not among those of ``rejected`` (doc_id, hash)."""
+    keys = rejected.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).distinct()
+    return docs.withColumn("__text", text_hash()).join(
+        keys, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+        & (F.col("__text") == F.col("__hash")), "left_anti").drop("__text")
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
     held = (3, 1)
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), held)
-    return _without(docs, toxicity.score(docs, model, held).filter("predicted = 1"))
+    return _without(docs, toxicity.score(docs, model, held, keyed=True).filter("predicted = 1"))
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def repeats_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmarks_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go."""
-    found = decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    found = decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"), keyed=True)
     return _without(docs, found.filter("contaminated"))
 
 

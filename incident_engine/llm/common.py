@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from incident_engine.session import materialize
 
-__all__ = ["components", "fold", "materialize", "narrow", "prefix_sums", "read", "words_of"]
+__all__ = ["components", "fold", "materialize", "narrow", "prefix_sums", "read", "text_hash",
+           "words_of"]
 
 #: Bytes that end a word; A-Z become a-z. Bytes of other characters stay as they are.
 _FOLD = bytes(
@@ -33,6 +34,11 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.col(f"`{text_col}`").cast("string").alias(names[1]))
 
 
+def text_hash(text: str = "text"):
+    """Tells texts apart; with the id it is the key of a row. A null text counts as empty."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), 1, 32))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased words: runs of letters, digits and characters beyond ASCII."""
     return text.encode().translate(_FOLD).split() if text else []

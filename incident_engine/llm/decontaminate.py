@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, narrow, words_of
+from .common import mix, narrow, text_hash, words_of
 
 SPAN, GRAM = 10, 5
 WINDOW = SPAN - GRAM + 1
@@ -133,10 +133,13 @@ def _blocks(items: DataFrame, block_bytes: int) -> list:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+                  keyed: bool = False) -> DataFrame:
     """One row per document: n_words, n_hit (words inside an occurring window), n_items and
-    items_sha256 of the items with such windows, and contaminated."""
+    items_sha256 of the items with such windows, and contaminated; with ``keyed`` also the hash of
+    its text."""
     blocks = _blocks(items, block_bytes)
+    more = ["hash"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Items(blocks[0].value)
@@ -156,7 +159,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                  pa.array(n_hit, pa.int64()), pa.array([len(x) for x in listed], pa.int64()),
                  pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in listed],
                           pa.string()),
-                 pa.array([n > 0 for n in n_hit], pa.bool_())],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+                 pa.array([n > 0 for n in n_hit], pa.bool_()), *[batch[x] for x in more]],
+                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                       *more])
 
-    return narrow(docs, id_col, text_col).mapInArrow(run, _RESULT)
+    rows = narrow(docs, id_col, text_col)
+    return (rows.withColumn("hash", text_hash()) if keyed else rows).mapInArrow(
+        run, _RESULT + ", hash binary" * keyed)

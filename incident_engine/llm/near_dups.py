@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, mix, narrow, words_of
+from .common import components, materialize, mix, narrow, text_hash, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, TAKEN = 16, 3
@@ -310,8 +310,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  least: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id, n_links (near texts its text was found linked
     with), first (true for one row of each class, the one with the smallest id)."""
+    return _classes(docs, id_col, text_col, least).drop("hash")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataFrame:
+    """``near_classes`` with the hash of each row's text."""
     rows = narrow(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    hashed = rows.withColumn("hash", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
+    hashed = rows.withColumn("hash", text_hash())
     sketched = materialize(_sketched(hashed), "near-sketched")
     # one id per different text; copies are told by the hash alone
     groups = materialize(sketched.groupBy("hash").agg(
@@ -352,7 +357,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (F.col("head.hash") == F.col("hash")).alias("leads"), "low")
     labels = materialize(labels, "near-labels")
     return sketched.select("doc_id", "hash").join(labels, "hash").select(
-        "doc_id", "class_id", "n_links",
+        "doc_id", "hash", "class_id", "n_links",
         (F.col("leads") & F.col("doc_id").eqNullSafe(F.col("low"))).alias("first"))
 
 
@@ -361,9 +366,13 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows that agree in id and text are one document, of which one row stays.
     """
-    classes = materialize(near_classes(docs, id_col, text_col), "near-classes")
-    first = classes.filter("first").select(F.col("doc_id").alias("__id")).distinct()
-    key = F.col(f"`{id_col}`").cast("long")
-    kept = docs.join(first, key.eqNullSafe(F.col("__id")), "left_semi")
-    repeated = classes.groupBy("doc_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates([id_col])
+    classes = _classes(docs, id_col, text_col, SIMILARITY).filter("first")
+    first = materialize(classes.groupBy(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"))
+                        .agg(F.count(F.lit(1)).alias("n")), "near-first")
+    keyed = docs.withColumns({"__key": F.col(f"`{id_col}`").cast("long"), "__text": text_hash(
+        f"`{text_col}`")})
+    kept = keyed.join(first, F.col("__key").eqNullSafe(F.col("__id"))
+                      & (F.col("__text") == F.col("__hash")), "left_semi")
+    if not first.filter("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["__key", "__text"])
+    return kept.drop("__key", "__text")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, fold_of, materialize, narrow
+from .common import fold, fold_of, materialize, narrow, text_hash
 
 #: Bounds of the training sample and of the lexicon, and the decision threshold.
 TRAIN_ROWS, LEXICON_WORDS, THRESHOLD = 20_000, 400, 0.7
@@ -262,10 +262,12 @@ def train(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (3, 1),
 
 
 def score(docs: DataFrame, model, held: tuple[int, int], threshold: float = THRESHOLD,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted per row. ``model`` has ``score(texts)``."""
+          id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """doc_id, held_out, score, predicted per row, with ``keyed`` also the hash of its text.
+    ``model`` has ``score(texts)``."""
     modulus, left_out = held
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    more = ["hash"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,8 +275,11 @@ def score(docs: DataFrame, model, held: tuple[int, int], threshold: float = THRE
             scores = np.clip(shared.value.score(batch["text"].to_pylist()), 0.0, 1.0)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([fold_of(i, modulus) == left_out for i in ids], pa.bool_()),
-                 pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))],
-                names=["doc_id", "held_out", "score", "predicted"])
-
-    return narrow(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, held_out boolean, score double, predicted int")
+                 pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32)),
+                 *[batch[x] for x in more]],
+                names=["doc_id", "held_out", "score", "predicted", *more])
+
+    rows = narrow(docs, id_col, text_col)
+    return (rows.withColumn("hash", text_hash()) if keyed else rows).mapInArrow(
+        run, "doc_id long, held_out boolean, score double, predicted int"
+        + ", hash binary" * keyed)

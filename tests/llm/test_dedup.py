@@ -5,7 +5,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from incident_engine.llm import near_dups, suffixes
+import corpus_pipeline
+from incident_engine.llm import near_dups, suffixes, toxicity
 
 
 def brute_repeats(rows):
@@ -225,3 +226,33 @@ def test_near_classes_of_odd_rows(odd, empty):
     assert kept.columns == odd.columns
     assert kept.count() == len({(r.class_id) for r in got})
     assert near_dups.near_classes(empty).count() == near_dups.keep_first(empty).count() == 0
+
+
+def test_rows_are_told_apart_by_id_and_text(spark, tmp_path):
+    """Several null ids, and ids on different texts: a near copy goes, no other text does."""
+    rng = random.Random(2)
+    text = [" ".join(f"w{rng.randint(0, 10**9)}" for _ in range(120)) for _ in range(6)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (1, text[2]), (2, text[2] + " end"),
+            (2, text[3]), (3, text[4]), (3, text[5]), (3, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((tuple(r) for r in near_dups.keep_first(docs).collect()), key=str)
+    assert kept == sorted({r for r in rows if r != rows[4]}, key=str)
+
+    spark.createDataFrame([(1, text[1]), (2, text[4])], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    left = corpus_pipeline.benchmarks_out(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert sorted((tuple(r) for r in left.collect()), key=str) == sorted(
+        (r for r in rows if r[1] not in (text[1], text[4])), key=str)
+
+
+def test_toxic_rows_go_by_id_and_text(spark, monkeypatch):
+    lexicon = {"bad": 3.0}
+    rows = [(y, toxicity.features(t, lexicon)) for t, y in (("bad", 1), ("fine", 0))] * 50
+    model = toxicity.Model(lexicon, rows, list(range(100)))
+    monkeypatch.setattr(toxicity, "train", lambda *a: model)
+    monkeypatch.setattr(corpus_pipeline, "read", lambda *a: None)
+    docs = spark.createDataFrame([(None, "bad"), (None, "fine"), (1, "bad"), (1, "good")],
+                                 "doc_id long, text string")
+    left = corpus_pipeline.toxic_out(spark, docs, "")
+    assert sorted(r.text for r in left.collect()) == ["fine", "good"]
