@@ -128,6 +128,18 @@ def test_shards_are_even_and_keep_groups(spark, documents, odd, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_shards_keep_small_groups_next_to_a_hot_one(spark):
+    """A third of the rows is one text: it fills three shards, and all pairs of copies stay whole."""
+    docs = spark.range(8000).selectExpr(
+        "id as doc_id", "case when id < 2700 then 'hot' when id < 4300 then "
+        "concat('pair', id div 2) else concat('own', id) end as text")
+    rows = docs.join(sharding.shard_documents(docs).select("doc_id", "shard"), "doc_id").toPandas()
+    groups = rows.groupby("text")["shard"].agg(["size", "nunique"])
+    assert groups.loc["hot", "nunique"] == 3
+    assert (groups[groups["size"] == 2]["nunique"] == 1).mean() > 0.99
+    assert set(rows.groupby("shard").size()) == {1000}
+
+
 def test_pipeline_stage_by_stage(spark, small, tmp_path):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     columns, seen = docs.columns, defaultdict(list)
