@@ -14,7 +14,7 @@ from incident_engine.operators.spatial import grid_cells, grid_over
 from incident_engine.schemas import CELL_SIZE, HIT_THRESHOLD, HOT_SPOTS
 from incident_engine.session import load_or_build, materialize
 from incident_engine.sinks.files import write_feature_collection
-from incident_engine.sources.files import scan_csv_skip_long, scan_geojson
+from incident_engine.sources.files import path_exists, scan_csv_skip_long, scan_geojson
 
 CELL = ["grid_id", "ix", "iy"]
 
@@ -82,10 +82,17 @@ def hot_spots_from_files(spark: SparkSession, incidents_csv: str, boundary_geojs
                          step: float = CELL_SIZE) -> DataFrame:
     """Forecast from files to a FeatureCollection; returns the ranked cells.
 
-    The grid is built once and kept as a table at ``grid_table``.
+    The grid is kept as a table at ``grid_table`` and built anew when the boundary or the step
+    is not the one noted beside it.
     """
     boundary = scan_geojson(spark, boundary_geojson)
     grid = grid_over(boundary, step)
+    hashes = F.xxhash64(F.to_json(F.struct(*boundary.columns))).cast("decimal(38,0)")
+    spec = f"{grid} {step} {boundary.agg(F.sum(hashes)).first()[0]}"
+    noted = f"{grid_table}_spec"
+    if not path_exists(spark, noted) or spark.read.text(noted).first()[0] != spec:
+        grid_cells(boundary, grid, POLYGON).write.mode("overwrite").parquet(grid_table)
+        spark.createDataFrame([(spec,)], "spec string").coalesce(1).write.mode("overwrite").text(noted)
     cells = load_or_build(spark, grid_table, lambda: grid_cells(boundary, grid, POLYGON))
     points = incident_points(scan_csv_skip_long(spark, incidents_csv))
     ranked = materialize(HotSpotModel.fit(points, cells, grid).rank(count), "hot-spots")

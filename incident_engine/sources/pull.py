@@ -1,14 +1,17 @@
 """Incremental pull: rows changed since a high-water mark.
 
-The mark is ISO text or a time, of the same type as the update column. It is
-kept in a small state table to which marks are only ever added; the highest
+The mark is of the same type as the update column and is compared as that
+type; a time is stored in UTC, so the session zone does not matter. It is kept in a small state table to which marks are only ever added; the highest
 one counts, so a crash while saving loses nothing.
 """
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, TimestampType
 
 from incident_engine.schemas import PAGE_SIZE
 from incident_engine.sources.files import path_exists
@@ -43,18 +46,21 @@ def next_mark(table: DataFrame, update_field: str, mark: str | None) -> DataFram
     return table.agg(F.greatest(F.max(update_field), old).alias("next_mark"))
 
 
-def load_mark(spark: SparkSession, path: str, feed: str) -> str | None:
-    """Saved mark of the feed, or nothing when none was ever saved."""
+def load_mark(spark: SparkSession, path: str, feed: str,
+              kind: DataType = StringType()) -> str | None:
+    """Greatest saved mark of the feed as ``kind``, or nothing when none was ever saved."""
     if not path_exists(spark, path):
         return None
     saved = spark.read.schema(_STATE_DDL).parquet(path).filter(F.col("feed") == feed)
-    return saved.agg(F.max("mark")).first()[0]
+    return saved.agg(F.max(F.struct(F.col("mark").cast(kind).alias("value"), "mark"))["mark"]).first()[0]
 
 
-def save_mark(spark: SparkSession, path: str, feed: str, mark: str | None) -> bool:
+def save_mark(spark: SparkSession, path: str, feed: str, mark: str | None,
+              kind: DataType = StringType()) -> bool:
     """Add the mark if it moved forward; tells whether it did."""
-    old = load_mark(spark, path, feed)
-    if mark is None or (old is not None and mark <= old):
+    old = load_mark(spark, path, feed, kind)
+    if mark is None or (old is not None and not spark.range(1).select(
+            F.lit(mark).cast(kind) > F.lit(old).cast(kind)).first()[0]):
         return False
     spark.createDataFrame([(feed, mark)], _STATE_DDL).coalesce(1).write.mode("append").parquet(path)
     return True
@@ -70,9 +76,15 @@ def pull_once(table: DataFrame, update_field: str, state: str, feed: str, sink,
     and ``key`` are those of ``rows_since``.
     """
     spark = table.sparkSession
-    rows = rows_since(table, update_field, load_mark(spark, state, feed), inclusive, key)
+    kind = table.schema[update_field].dataType
+    rows = rows_since(table, update_field, load_mark(spark, state, feed, kind), inclusive, key)
     seen = Observation(f"pull-{feed}")
-    latest = F.max(F.col(update_field).cast("string"))
+    latest = F.max(update_field)
+    timed = isinstance(kind, TimestampType)
+    latest = F.unix_micros(latest) if timed else latest.cast("string")
     sink(rows.observe(seen, F.count(F.lit(1)).alias("rows"), latest.alias("mark")))
-    save_mark(spark, state, feed, seen.get["mark"])
+    mark = seen.get["mark"]
+    if timed and mark is not None:
+        mark = (datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=mark)).isoformat()
+    save_mark(spark, state, feed, mark, kind)
     return seen.get["rows"]

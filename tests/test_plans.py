@@ -89,6 +89,21 @@ def test_hot_spots_from_files(spark, tmp_path):
     assert [f["properties"]["grid_id"] for f in document["features"]] == [0, 10, 20, 30]
 
 
+def test_hot_spots_rebuild_a_grid_of_another_step_or_boundary(spark, tmp_path):
+    table, boundary, grid = tmp_path / "incidents.csv", tmp_path / "city.geojson", str(tmp_path / "grid")
+    table.write_text("\n".join(["ID,Date,Latitude,Longitude"] + [
+        f"x,2020-{month:02d}-01T00:00:00,0.0031,0.0031" for month in range(1, 13)]))
+    for width, step, cells in ((0.06, 0.006, 100), (0.06, 0.012, 25), (0.03, 0.006, 25)):
+        ring = [[0, 0], [width, 0], [width, width], [0, width], [0, 0]]
+        boundary.write_text(json.dumps({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {},
+             "geometry": {"type": "Polygon", "coordinates": [ring]}}]}))
+        hot_spots_from_files(spark, str(table), str(boundary), grid, str(tmp_path / "out"), step=step)
+        found = spark.read.parquet(grid)
+        assert found.count() == cells
+        assert found.agg({"ix": "max"}).first()[0] == round(width / step) - 1
+
+
 def test_forecast_from_files(spark, tmp_path):
     lines = ["Date,Community Area"]
     for month in range(30):

@@ -105,3 +105,23 @@ def test_late_rows_at_the_mark_are_pulled_when_inclusive(spark, tmp_path):
     assert pull.pull_once(late, "updated", state, "f", sink) == 0
     assert pull.pull_once(late, "updated", state, "f", sink, inclusive=True, key="id") == 2
     assert sent == [["a"], [], ["a", "b"]]
+
+
+def test_marks_hold_across_session_zones(spark, tmp_path):
+    state, zone = str(tmp_path / "marks"), spark.conf.get("spark.sql.session.timeZone")
+    times = spark.range(2).selectExpr("id", "timestamp_micros(1736000000000000 + id * 3600000000) as t")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert pull.pull_once(times.filter("id = 0"), "t", state, "x", lambda rows: rows.collect()) == 1
+        spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+        assert pull.pull_once(times, "t", state, "x", lambda rows: rows.collect()) == 1
+        assert pull.pull_once(times, "t", state, "x", lambda rows: rows.collect()) == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_marks_of_numbers_are_compared_as_numbers(spark, tmp_path):
+    state = str(tmp_path / "marks")
+    for n, sent in ((9, 1), (10, 1), (10, 0)):
+        rows = spark.createDataFrame([(n,)], "n long")
+        assert pull.pull_once(rows, "n", state, "x", lambda r: r.collect()) == sent
