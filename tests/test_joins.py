@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from incident_engine.operators.joins import fits_broadcast, join_keyed
+from incident_engine.operators.joins import fits_broadcast, heavy_keys, join_keyed, join_spread
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +48,35 @@ def test_bound_is_checked_in_rows_and_bytes(spark):
 def test_other_join_types_are_refused(sides):
     with pytest.raises(ValueError, match="salted side"):
         join_keyed(*sides, ["k"], "outer")
+
+
+def test_sketch_names_the_keys_above_their_share_alone(spark):
+    rows = spark.range(0, 20_000, 1, 4).select(
+        F.when(F.col("id") % 2 == 0, -1).when(F.col("id") % 10 == 1, -2).otherwise(F.col("id"))
+        .alias("k"))
+    found = heavy_keys(rows, ["k"], 20)
+    keys = {spark.range(1).select(F.xxhash64(F.lit(k).cast("long"))).first()[0]: k for k in (-1, -2)}
+    assert {keys[h]: n for h, n in found.items()} == {-1: 10, -2: 2}
+    assert heavy_keys(rows.limit(0), ["k"], 20) == {}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_null_keys_never_reach_the_shuffle(spark, how):
+    """Nine rows in ten have no key, half of the others one key; every task gets its share."""
+    large = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 10 > 0, None).when(F.col("id") % 20 == 0, 7)
+        .otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    keyed = spark.range(0, 30_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    plain = large.join(keyed, ["k"], how)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = join_spread(large, keyed, ["k"], how, tasks=8)
+        assert got.columns == plain.columns
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+        if how == "inner":
+            sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == plain.count() and max(sizes) < 0.4 * sum(sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
