@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, near_dups, packing, quality, quality_rules, sharding, suffixes,
-               token_files, toxicity, url_rules)
+from . import (collocations, decontaminate, near_dups, packing, quality, quality_rules,
+               secret_scan, sharding, spellings, suffixes, token_files, toxicity, url_rules)
 from .common import read
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,7 +60,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(secret_scan.find_secrets(read(spark, sf_dir, "documents")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.spelling_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_url_filters, op3_suffix_dedup, op4_token_ids, op5_decontamination,
-        op6_near_dedup, op7_packing, op8_toxicity, op9_quality_classifier, op10_sharding)}
+        op6_near_dedup, op7_packing, op8_toxicity, op9_quality_classifier, op10_sharding,
+        op11_secret_scan, op12_collocations, op13_spelling_groups)}
