@@ -16,6 +16,16 @@ def _ts(expr: str) -> str:
     return _TS.format(expr)
 
 
+# The inputs of the ridge model for the month {m}: waves over the days since 1970, then regressors.
+_INPUTS = "[" + ", ".join(
+    [f"{f}(date_diff('day', date '1970-01-01', {{m}}::date) * 2 * pi() * {k} / {period})"
+     for period, order in (("365.25e0", 10), ("7e0", 3)) for k in range(1, order + 1)
+     for f in ("sin", "cos")]
+    + ["month({m})::double", "year({m})::double", "day(last_day({m}))::double",
+       "sin(2*pi()*month({m})/12)", "cos(2*pi()*month({m})/12)",
+       "sin(2*pi()*(isodow({m}) - 1)/7)", "cos(2*pi()*(isodow({m}) - 1)/7)",
+       "(month({m}) in (1, 7, 12))::double", "{rate}"]) + "]"
+
 # Shared steps: name -> (steps it needs, query).
 STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "ext": (("precincts",), """
@@ -79,6 +89,40 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
           regr_slope(crime_count, t) filter (not is_test) as b,
           regr_intercept(crime_count, t) filter (not is_test) as a
         from split group by area"""),
+    "designed": (("split", "rate"), """
+        select split.*, """ + _INPUTS.format(m="split.m", rate="coalesce(unemployment_rate, 5.0e0)") + """ as x
+        from split left join rate on rate.area = split.area and rate.year = split.year
+          and rate.month = split.month"""),
+    "trained": (("designed", "lines"), """
+        select d.*, a + b*d.t as trend, a, b, origin,
+          sqrt(avg((a + b*d.t)^2) over (partition by d.area)) as level
+        from designed d join lines on lines.area = d.area where not is_test"""),
+    "spread": (("trained",), """
+        select area, list(mean order by i) as c, list(case when dev > 1e-9 then dev else 1 end order by i) as s
+        from (select area, i, avg(x[i]) as mean, stddev_pop(x[i]) as dev
+          from trained, unnest(range(1, 36)) u(i) group by area, i) group by area"""),
+    "equations": (("trained", "spread"), """
+        select area, i, list(p order by j) as r
+        from (select area, i, j, sum(u[i] * u[j]) + case when i = j then 1 else 0 end as p
+          from (select t.area, list_append(list_transform(x, lambda v, k: (v - c[k]) / s[k]
+                * trend / level), (crime_count - trend) / level) as u
+              from trained t join spread on spread.area = t.area) z,
+            unnest(range(1, 36)) n(i), unnest(range(1, 37)) o(j) group by area, i, j)
+        group by area, i"""),
+    # elimination, one row and column after the other
+    "weights": (("equations", "trained", "spread"), """
+        with recursive solving(area, k, m) as (
+          select area, 1, list(r order by i) from equations group by area
+          union all
+          select area, k + 1, list_transform(m, lambda r, i: case when i = k
+              then list_transform(r, lambda v: v / m[k][k])
+              else list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) end)
+          from solving where k <= 35)
+        select g.area, list_transform(m, lambda r: r[36]) as w, c, s, n_train, a, b, origin
+        from solving g join spread on spread.area = g.area join (
+          select area, count(*) as n_train, any_value(a) as a, any_value(b) as b,
+            any_value(origin) as origin from trained group by area) l on l.area = g.area
+        where k = 36"""),
     "seasons": (("split", "lines"), """
         select split.area, month, avg(crime_count / (a + b*t)) as idx
         from split join lines on lines.area = split.area where not is_test group by all"""),
@@ -147,8 +191,30 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "pull_page": (("chi",), f"""
         select {_PAGE_COLUMNS} from (select * from chi order by updated_ts desc, event_id
           limit 1000 offset 1000)"""),
+    "pull_page_deep": (("chi",), f"""
+        select {_PAGE_COLUMNS} from (select *, row_number() over (
+            order by updated_ts desc, event_id) - 1 as place, count(*) over () as n from chi)
+        where place >= n * {q.DEEP_PAGE[0]} // {q.DEEP_PAGE[1]}
+          and place < n * {q.DEEP_PAGE[0]} // {q.DEEP_PAGE[1]} + 1000"""),
+    "csv_skip_long": (("la",), """
+        select dr_no, area, premis, status from la where dr_no::bigint % 13 <> 0"""),
     "pull_next_mark": (("chi",), f"""
         select {_ts(f"greatest(max(updated_ts), timestamp '{q.MARK}')")} as next_mark from chi"""),
+    "stream_pull": (("chi",), f"""
+        select {_PAGE_COLUMNS}, 1::bigint as n,
+          case when updated_ts > timestamp '{q.MARK}' then 1 else 0 end::bigint as batch_id from chi"""),
+    "stream_chicago": (("chi",), f"select {_CHI_COLUMNS} from chi"),
+    "stream_seattle": (("sea",), f"""
+        select report_number as "Report Number", {_ts("report_ts")} as "Report Date Time",
+          {_ts("offense_ts")} as "Offense Date", try_cast(latitude as double) as latitude,
+          try_cast(longitude as double) as longitude, beat as "Beat", precinct as "Precinct",
+          offense_category as "Offense Category", {_SEA_NULLS} from sea"""),
+    "mark_round_trip": (("chi",), f"""
+        select cycle, count(*) as n, count(distinct id) as ids, {_ts("max(updated_ts)")} as mark
+        from (select chi.*, (select count(*) from unnest([1, 2, 3]) u(i)
+            where cast(updated_ts as date) >= days[len(days) * i // 4 + 1]) as cycle
+          from chi, (select list(distinct cast(updated_ts as date) order by
+            cast(updated_ts as date)) as days from chi)) group by cycle"""),
     "collect_worklist": (("precincts", "uk"), _WORK),
     "collect_in_polygon": (("inc", "boxes"), f"""
         select force, neighbourhood, strftime(occurred_at, '%Y-%m') as month, count(*) as n
@@ -295,6 +361,19 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
     "forecast_mse": (("fitted",), """
         select area, round(avg((crime_count - yhat)^2), 6) as mse from fitted
         where is_test group by area"""),
+    "forecast_fit": (("weights",), """
+        select area, n_train, unnest(range(35)) as term, round(unnest(w), 6) as weight from weights"""),
+    "forecast_ridge_predict": (("rate", "weights"), f"""
+        select area, year, month, round(greatest((a + b*t) * (1 + list_dot_product(
+            list_transform(x, lambda v, i: (v - c[i]) / s[i]), w)), 0), 4) as yhat
+        from (select weights.*, asked.year, asked.month, asked.year*12 + asked.month - origin as t,
+            {_INPUTS.format(m="make_date(asked.year, asked.month, 1)", rate="asked.rate")} as x
+          from (select area, year + 2 as year, month, unemployment_rate as rate from rate) asked
+          join weights on weights.area = asked.area)"""),
+    "forecast_ridge_mse": (("designed", "weights"), """
+        select d.area, round(avg((d.crime_count - greatest((w.a + w.b*d.t) * (1 + list_dot_product(
+            list_transform(d.x, lambda v, i: (v - w.c[i]) / w.s[i]), w.w)), 0))^2), 4) as mse
+        from designed d join weights w on w.area = d.area where d.is_test group by d.area"""),
     "forecast_predict": (("rate", "lines", "seasons"), f"""
         select asked.area, asked.year, asked.month,
           round(greatest((a + b*(asked.year*12 + asked.month - origin)) * coalesce(idx, 1), 0), 6)

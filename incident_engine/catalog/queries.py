@@ -6,6 +6,7 @@ Ids and counts come out as bigint, dates and times as text, doubles rounded.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +20,12 @@ from incident_engine.operators import counts, features, forecast, records, sets,
 from incident_engine.plans import collect, hotspot, incidents
 from incident_engine.schemas import CELL_SIZE, CHICAGO_RECORD, LA_RECORD, UK_RECORD
 from incident_engine.session import load_or_build, materialize, use_utc, workspace_dir
+from incident_engine.sinks import batch_log
 from incident_engine.sinks import files as file_sinks
 from incident_engine.sinks import messages as message_sinks
-from incident_engine.sources import pull
-from incident_engine.sources.messages import only_topics
+from incident_engine.sources import files as file_sources
+from incident_engine.sources import pages, pull
+from incident_engine.sources.messages import MessageSource, only_topics
 from incident_engine.streaming import feeds as live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +35,9 @@ MARK = "2024-01-20T00:00:00.000"
 CUTOFF = "2024-01-20 01:00:00"
 HOT_CELLS = 40
 HORIZON = (2001, 6, 10)
+PAGE_PART_ROWS = 2000
+# the page at three fifths of the rows
+DEEP_PAGE = (3, 5)
 
 
 def query(run: Query) -> Query:
@@ -66,6 +72,10 @@ def day_text(name: str) -> Column:
     return F.date_format(name, "yyyy-MM-dd").alias(name)
 
 
+def _run_folder(spark, name: str) -> str:
+    return f"{workspace_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # Sources and sinks
 
 
@@ -106,12 +116,79 @@ def pull_page(spark, sf):
     return rows.select("id", timestamps.to_text("updated_ts").alias("updated_on"))
 
 
+@query
+def pull_page_deep(spark, sf):
+    """A page far down, by an order index: only the ranges that hold it are read."""
+    index = pages.build_page_index(
+        feed(spark, sf, "chi").select("id", "updated_ts", "event_id"), "updated_ts", "event_id",
+        _run_folder(spark, "pages"), part_rows=PAGE_PART_ROWS)
+    rows = index.page(DEEP_PAGE[0] * index.rows // DEEP_PAGE[1])
+    return rows.select("id", timestamps.to_text("updated_ts").alias("updated_on"))
+
+
 @query
 def pull_next_mark(spark, sf):
     df = pull.next_mark(feed(spark, sf, "chi"), "updated_ts", MARK)
     return df.select(*as_text("next_mark"))
 
 
+@query
+def stream_pull(spark, sf):
+    """Two runs of the pull stream with a restart between; rows were added meanwhile."""
+    folder = _run_folder(spark, "stream-pull")
+    rows = feed(spark, sf, "chi").select("id", "updated_ts")
+    late = F.col("updated_ts") > F.lit(MARK).cast("timestamp_ntz")
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.write.mode("append").parquet(f"{folder}/table")
+        live.start_pull_stream(spark, f"{folder}/table", rows.schema, "updated_ts", f"{folder}/out",
+                               f"{folder}/checkpoint", poll=None).awaitTermination()
+    out = batch_log.read_batches(spark, f"{folder}/out", rows.schema, "parquet")
+    return out.groupBy("id", timestamps.to_text("updated_ts").alias("updated_on")).agg(
+        n_rows(), F.min("batch_id").alias("batch_id"))
+
+
+def _streamed(spark, sf, spec: live.FeedSpec, messages: DataFrame) -> DataFrame:
+    """What a live feed wrote, in several batches, as the log of its batches has it."""
+    folder = _run_folder(spark, f"stream-{spec.name}")
+    messages.repartition(4).write.parquet(f"{folder}/in")
+    source = MessageSource("parquet", (spec.name,), {"path": f"{folder}/in", "maxFilesPerTrigger": "2"})
+    live.start_feed(spark, spec, source, f"{folder}/out", f"{folder}/checkpoint", poll=None,
+                    writer=batch_log.logged_csv_writer).awaitTermination()
+    schema = spec.rows(messages).schema
+    return batch_log.read_batches(spark, f"{folder}/out", schema).select(*schema.fieldNames())
+
+
+@query
+def stream_chicago(spark, sf):
+    return _streamed(spark, sf, live.CHICAGO, feeds.chi_messages(spark, sf))
+
+
+@query
+def stream_seattle(spark, sf):
+    return _streamed(spark, sf, live.SEATTLE, feeds.sea_messages(spark, sf))
+
+
+@query
+def mark_round_trip(spark, sf):
+    """Four cycles of a pull over a growing table: the rows each sent and the mark it saved."""
+    folder = _run_folder(spark, "marks")
+    rows = materialize(feed(spark, sf, "chi").select("id", "updated_ts"), "mark-rows")
+    days = [r["day"] for r in rows.select(
+        F.to_date("updated_ts").alias("day")).distinct().orderBy("day").collect()]
+    saved = []
+    for cycle in range(4):
+        last = cycle == 3
+        known = rows if last else rows.filter(
+            F.col("updated_ts") < F.lit(days[len(days) * (cycle + 1) // 4]))
+        pull.pull_once(known, "updated_ts", f"{folder}/state", "chi",
+                       lambda new: new.write.parquet(f"{folder}/out/cycle={cycle}"))  # noqa: B023
+        saved.append((cycle, pull.load_mark(spark, f"{folder}/state", "chi")))
+    marks = spark.createDataFrame(saved, "cycle long, mark string").withColumn(
+        "mark", timestamps.to_text(F.col("mark").cast("timestamp_ntz")))
+    sent = spark.read.parquet(f"{folder}/out").groupBy(F.col("cycle").cast("bigint").alias("cycle"))
+    return sent.agg(n_rows(), F.countDistinct("id").alias("ids")).join(F.broadcast(marks), "cycle")
+
+
 @query
 def collect_worklist(spark, sf):
     precincts = feed(spark, sf, "precincts").select("force", "neighbourhood")
@@ -134,6 +211,27 @@ def collect_by_worklist(spark, sf):
     return rows.groupBy(*PRECINCT, "month").agg(n_rows())
 
 
+@query
+def csv_skip_long(spark, sf):
+    """Files of one table whose headers name the columns in another order; one line in thirteen
+    has a field too many."""
+    folder = _run_folder(spark, "csv")
+    names = ["dr_no", "area", "premis", "status"]
+    rows = feed(spark, sf, "la").select(*names, F.col("dr_no").cast("bigint").alias("no"))
+    lines = None
+    for turn in range(3):
+        order = names[turn:] + names[:turn]
+        here = rows.filter(F.pmod("no", F.lit(3)) == turn)
+        surplus = F.when(F.pmod("no", F.lit(13)) == 0, ",surplus").otherwise("")
+        text_lines = here.select(F.lit(turn).alias("file"), F.lit(1).alias("nth"), F.concat(
+            F.concat_ws(",", *order), surplus).alias("value"))
+        header = spark.createDataFrame([(turn, 0, ",".join(order))], text_lines.schema)
+        lines = header.union(text_lines) if lines is None else lines.union(header).union(text_lines)
+    lines.repartition("file").sortWithinPartitions("file", "nth").select("file", "value") \
+        .write.partitionBy("file").text(f"{folder}/rows")
+    return file_sources.scan_csv_skip_long(spark, f"{folder}/rows").select(*names)
+
+
 def _half_keyed(spark, sf) -> DataFrame:
     gone = F.col("event_id") % 50 == 0
     df = feed(spark, sf, "chi").withColumn("record", F.col("id"))
@@ -662,8 +760,30 @@ def forecast_horizon(spark, sf):
     return _area(df).select("area", day_text("ds"), *rounded(6, "yhat"))
 
 
+def _ridge_split(spark, sf) -> DataFrame:
+    df = features.with_rate(features.with_calendar(_area_counts(spark, sf)), _rate(spark, sf))
+    return materialize(forecast.split_series(df), "ridge-months")
+
+
 @query
 def forecast_fit(spark, sf):
-    df = features.with_rate(features.with_calendar(_area_counts(spark, sf)), _rate(spark, sf))
-    models = forecast.fit_ridge(forecast.split_series(df))
-    return _area(models).select("area", *as_long("n_train"), F.col("weight").alias("coefficients"))
+    models = forecast.fit_ridge(_ridge_split(spark, sf))
+    rows = models.select("AREA", "n_train", F.posexplode("weight").alias("term", "weight"))
+    return _area(rows).select("area", *as_long("n_train", "term"), *rounded(6, "weight"))
+
+
+@query
+def forecast_ridge_predict(spark, sf):
+    asked = _rate(spark, sf).select(
+        "AREA", (F.col("year") + 2).alias("year"), "month", "unemployment_rate")
+    df = forecast.predict_ridge(asked, forecast.fit_ridge(_ridge_split(spark, sf)))
+    return _area(df).select("area", *as_long("year", "month"), *rounded(4, "yhat"))
+
+
+@query
+def forecast_ridge_mse(spark, sf):
+    split = _ridge_split(spark, sf)
+    asked = split.select("AREA", "year", "month", "unemployment_rate", "ds", "is_test",
+                         F.col("crime_count").alias("y"))
+    df = forecast.holdout_mse(forecast.predict_ridge(asked, forecast.fit_ridge(split)))
+    return _area(df).select("area", *rounded(4, "mse"))

@@ -27,6 +27,8 @@ REGRESSORS = [
 YEARLY_ORDER = 10
 WEEKLY_ORDER = 3
 RIDGE_PENALTY = 1.0
+#: A spread below this is none.
+FLAT = 1e-9
 
 
 def month_number(ds: Column | str) -> Column:
@@ -141,43 +143,78 @@ def ridge_inputs(ds: str = "ds") -> Column:
     return F.array(*terms, *[F.col(name).cast("double") for name in REGRESSORS])
 
 
-_RIDGE_MODEL = (
-    "AREA string, origin int, n_train int, slope double, intercept double, "
-    "center array<double>, scale array<double>, weight array<double>"
-)
-
-
-def _fit_ridge(train: pd.DataFrame) -> pd.DataFrame:
-    """Line by least squares, then ridge on the relative deviation from it."""
-    t = train["t"].to_numpy(float)
-    y = train["y"].to_numpy(float)
-    slope, intercept = np.polyfit(t, y, 1)
-    trend = intercept + slope * t
-    x = np.vstack(train["x"].to_numpy())
-    center = x.mean(axis=0)
-    scale = x.std(axis=0)
-    scale[scale < 1e-12] = 1.0
-    usable = trend > 0
-    z = ((x - center) / scale)[usable]
-    deviation = y[usable] / trend[usable] - 1
-    weight = np.linalg.solve(z.T @ z + RIDGE_PENALTY * np.eye(z.shape[1]), z.T @ deviation)
-    return pd.DataFrame({
-        "AREA": [train["AREA"].iloc[0]], "origin": [int(train["origin"].iloc[0])],
-        "n_train": [len(train)], "slope": [slope], "intercept": [intercept],
-        "center": [center], "scale": [scale], "weight": [weight],
-    })
-
-
-def fit_ridge(split_features: DataFrame) -> DataFrame:
-    """One ridge model row per area, from the training rows of a split feature table."""
+def _train_rows(split_features: DataFrame) -> DataFrame:
+    """Training rows with the line through them: ``AREA, origin, t, y, x, slope, intercept, trend,
+    level``. ``level`` is the root of the mean square of the trend, the unit of all that follows."""
     require_columns(split_features, ["AREA", "ds", "crime_count", "is_test", *REGRESSORS])
     area = Window.partitionBy("AREA")
     origin = F.min(month_number("ds")).over(area)
     train = split_features.select(
-        "AREA", origin.alias("origin"), (month_number("ds") - origin).alias("t"),
-        F.col("crime_count").alias("y"), ridge_inputs().alias("x"), "is_test",
+        "AREA", origin.alias("origin"), (month_number("ds") - origin).cast("double").alias("t"),
+        F.col("crime_count").cast("double").alias("y"), ridge_inputs().alias("x"), "is_test",
     ).filter(~F.col("is_test")).drop("is_test")
-    return train.groupBy("AREA").applyInPandas(_fit_ridge, _RIDGE_MODEL)
+    # one point has no slope; its line is flat
+    slope = F.coalesce(F.regr_slope("y", "t").over(area), F.lit(0.0))
+    train = train.withColumns({"slope": slope, "intercept": F.coalesce(
+        F.regr_intercept("y", "t").over(area), F.avg("y").over(area))})
+    train = train.withColumn("trend", F.col("intercept") + F.col("slope") * F.col("t"))
+    level = F.sqrt(F.avg(F.col("trend") * F.col("trend")).over(area))
+    return train.withColumn("level", F.when(level > FLAT, level).otherwise(1.0))
+
+
+def _moments(train: DataFrame) -> DataFrame:
+    """``AREA, center, scale``: mean and spread of each input, by sums over exploded inputs."""
+    cells = train.select("AREA", F.posexplode("x").alias("i", "v"))
+    each = cells.groupBy("AREA", "i").agg(
+        F.avg("v").alias("center"), F.stddev_pop("v").alias("scale"))
+    listed = each.groupBy("AREA").agg(F.array_sort(F.collect_list(F.struct(
+        "i", "center", F.when(F.col("scale") > FLAT, F.col("scale")).otherwise(1.0).alias("scale"),
+    ))).alias("each"))
+    return listed.select("AREA", F.col("each.center").alias("center"), F.col("each.scale").alias("scale"))
+
+
+def ridge_gram(train: DataFrame, moments: DataFrame) -> DataFrame:
+    """Normal equations as sums: ``AREA, i, j, s`` with ``s`` the sum of products of inputs ``i`` and
+    ``j``, i <= j; ``j`` = number of inputs stands for the target.
+
+    Inputs are standardised and weighed by the trend, the target is the distance from the trend,
+    both in units of the level; so a row whose trend is 0 or below counts like any other. Sums are
+    combined in every task before the shuffle, however many rows an area has.
+    """
+    share = F.col("trend") / F.col("level")
+    z = F.zip_with(F.zip_with("x", "center", lambda a, c: a - c), "scale", lambda d, s: d / s)
+    row = train.join(moments, "AREA").select(
+        "AREA", F.concat(F.transform(z, lambda v: v * share),
+                         F.array((F.col("y") - F.col("trend")) / F.col("level"))).alias("u"))
+    products = F.expr("""flatten(transform(slice(u, 1, size(u) - 1), (a, i) ->
+        transform(slice(u, i + 1, size(u) - i), (b, k) ->
+            named_struct('i', i, 'j', i + k, 'p', a * b))))""")
+    return row.select("AREA", F.inline(products)).groupBy("AREA", "i", "j").agg(
+        F.sum("p").alias("s"))
+
+
+def _solve(sums: pd.DataFrame) -> pd.DataFrame:
+    """Weights of one area from its sums, whose number depends on the inputs alone."""
+    size = len(REGRESSORS) + 2 * (YEARLY_ORDER + WEEKLY_ORDER)
+    full = np.zeros((size + 1, size + 1))
+    full[sums["i"], sums["j"]] = sums["s"]
+    full[sums["j"], sums["i"]] = sums["s"]
+    gram, target = full[:size, :size], full[:size, size]
+    weight = np.linalg.solve(gram + RIDGE_PENALTY * np.eye(size), target)
+    return pd.DataFrame({"AREA": [sums["AREA"].iloc[0]], "weight": [weight]})
+
+
+def fit_ridge(split_features: DataFrame) -> DataFrame:
+    """One ridge model row per area, from the training rows of a split feature table:
+    ``AREA, origin, n_train, slope, intercept, center, scale, weight``."""
+    train = _train_rows(split_features)
+    moments = _moments(train)
+    weights = ridge_gram(train, moments).groupBy("AREA").applyInPandas(
+        _solve, "AREA string, weight array<double>")
+    lines = train.groupBy("AREA").agg(
+        F.first("origin").cast("int").alias("origin"), F.count(F.lit(1)).cast("int").alias("n_train"),
+        F.first("slope").alias("slope"), F.first("intercept").alias("intercept"))
+    return lines.join(moments, "AREA").join(weights, "AREA")
 
 
 def predict_ridge(requests: DataFrame, models: DataFrame) -> DataFrame:

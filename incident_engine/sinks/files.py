@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Coordinate system name written into feature collections (fixed value).
 CRS_NAME = "urn:ogc:def:crs:OGC:1.3:CRS84"
+#: Features of one numbered part.
+FEATURES_PER_PART = 500_000
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None, header: bool = True,
@@ -52,21 +54,67 @@ def write_feature_lines(cells: DataFrame, path: str, properties: list[str]) -> N
     cell_features(cells, properties).select("feature").write.mode("overwrite").text(path)
 
 
-def write_feature_collection(cells: DataFrame, path: str, properties: list[str]) -> None:
+def join_parts(spark: SparkSession, path: str, copy: bool | None = None) -> str:
+    """Make one file of the numbered parts in ``path``; tells how: ``concat``, ``copy`` or ``parts``.
+
+    Where the file system can put files together by itself it does, and no byte is read.
+    Elsewhere the parts stay as they are: in order of their names they are the document. With
+    ``copy`` their bytes are passed through a small buffer here instead; on a local disk that is
+    the default.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(conf)
+    parts = sorted((s.getPath() for s in store.listStatus(folder)
+                    if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    if len(parts) < 2:
+        return "parts"
+    try:
+        rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts) - 1)
+        for i, part in enumerate(parts[1:]):
+            rest[i] = part
+        store.concat(parts[0], rest)
+        return "concat"
+    except Exception as error:  # the gateway has one class for all Java errors
+        if "UnsupportedOperation" not in f"{type(error).__name__} {error}":
+            raise
+    if copy is None:
+        copy = store.getUri().getScheme() == "file"
+    if not copy:
+        return "parts"
+    whole = jvm.org.apache.hadoop.fs.Path(path, "_joined")
+    out = store.create(whole, True)
+    for part in parts:
+        stream = store.open(part)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 65536, False)
+        stream.close()
+    out.close()
+    for part in parts:
+        store.delete(part, False)
+    store.rename(whole, parts[0])
+    return "copy"
+
+
+def write_feature_collection(cells: DataFrame, path: str, properties: list[str],
+                             part_rows: int = FEATURES_PER_PART, copy: bool | None = None) -> str:
     """One FeatureCollection document of any size: a head line, one feature per line in order of
-    ``grid_id``, and a tail line. One task writes it, row by row; feature lines are the form
-    that all tasks write."""
+    ``grid_id``, and a tail line.
+
+    Tasks write ranges of ids as numbered parts, the first with the head and the last with the
+    tail; no task holds all features. ``join_parts`` then makes one file of them where it can,
+    and its answer is returned. ``cells`` is read three times: hand in a written table.
+    """
     features = cell_features(cells, properties)
-    first = features.agg(F.min("grid_id").alias("first"))
-    head = F.lit('{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "'
-                 + CRS_NAME + '"}}, "features": [')
-    frame = first.select(F.explode(F.array(
-        F.struct(F.lit(0).alias("part"), F.lit(None).cast("long").alias("grid_id"), head.alias("value")),
-        F.struct(F.lit(2).alias("part"), F.lit(None).cast("long").alias("grid_id"),
-                 F.lit("]}").alias("value")))).alias("line")).select("line.*")
-    comma = F.when(F.col("grid_id") == F.col("first"), "").otherwise(",")
-    lines = features.join(F.broadcast(first)).select(
-        F.lit(1).alias("part"), F.col("grid_id").cast("long").alias("grid_id"),
-        F.concat(comma, "feature").alias("value"))
-    frame.union(lines).orderBy("part", "grid_id").coalesce(1).select("value") \
-        .write.mode("overwrite").text(path)
+    rows, first = features.agg(F.count(F.lit(1)), F.min("grid_id")).first()
+    head = ('{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "'
+            + CRS_NAME + '"}}, "features": [')
+    spark = cells.sparkSession
+    frame = spark.createDataFrame([(0, None, head), (2, None, "]}")],
+                                  "part int, grid_id long, value string")
+    comma = F.when(F.col("grid_id") == F.lit(first), "").otherwise(",")
+    lines = features.select(F.lit(1).alias("part"), F.col("grid_id").cast("long").alias("grid_id"),
+                            F.concat(comma, "feature").alias("value"))
+    parts = max(1, -(-rows // part_rows))
+    frame.union(lines).repartitionByRange(parts, "part", "grid_id") \
+        .sortWithinPartitions("part", "grid_id").select("value").write.mode("overwrite").text(path)
+    return join_parts(spark, path, copy)

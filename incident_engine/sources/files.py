@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,17 +20,73 @@ def scan_csv(spark: SparkSession, path: str, schema=None, **options: str) -> Dat
     return reader.csv(path)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Files under ``path`` (a file, folder or pattern) that Spark would read, through Hadoop."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: list[str] = []
+    for top in store.globStatus(pattern) or []:
+        root = top.getPath().toString()
+        files = store.listFiles(top.getPath(), True)
+        while files.hasNext():
+            name = files.next().getPath().toString()
+            below = name[len(root):].split("/")
+            if not any(part[:1] in ("_", ".") for part in below):
+                found.append(name)
+    return sorted(found)
+
+
+def first_lines(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, str]:
+    """First line of each file. One short read per file, as listing them is; no file is scanned."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def head(name: str) -> tuple[str, str]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+                codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            return name, (reader.readLine() or "").removeprefix("\ufeff")
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(pool.map(head, files))
+
+
 def scan_csv_skip_long(spark: SparkSession, path: str, columns: list[str] | None = None,
                        multi_line: bool = False) -> DataFrame:
-    """CSV as text columns; lines with more fields than the header are left out.
+    """CSV as text columns; lines with more fields than their file's header are left out.
 
-    Short lines are kept, their missing fields null. Empty fields are null too.
-    The scan asks for one column more than there is, so that Spark hands out
+    Short lines are kept, their missing fields null. Empty fields are null too. Every file
+    has its own header: columns are found by name, those that a file lacks are null. Files of
+    one header are one scan. With ``columns`` all files are taken to have these, in this order.
+    """
+    if columns is not None:
+        return _skip_long(spark, path, columns, multi_line)
+    by_header: dict[str, list[str]] = {}
+    for name, line in first_lines(spark, data_files(spark, path)).items():
+        by_header.setdefault(line, []).append(name)
+    if len(by_header) < 2:
+        columns = spark.read.option("header", "true").option("escape", '"').csv(path).columns
+        return _skip_long(spark, path, columns, multi_line)
+    out = None
+    for line, names in by_header.items():
+        header = next(csv.reader([line]), [])
+        if not header:  # an empty file has no rows either
+            continue
+        rows = _skip_long(spark, names, header, multi_line)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def _skip_long(spark: SparkSession, path: str | list[str], columns: list[str],
+               multi_line: bool) -> DataFrame:
+    """The scan asks for one column more than there is, so that Spark hands out
     the text of every line with another number of fields; the separators
     outside quotes then tell short and exact lines from long ones.
     """
-    if columns is None:
-        columns = spark.read.option("header", "true").option("escape", '"').csv(path).columns
     ddl = ", ".join(f"`{c}` string" for c in [*columns, _EXTRA, _LINE])
     raw = (
         spark.read.schema(ddl)

@@ -1,22 +1,27 @@
 """Incremental pull: rows changed since a high-water mark.
 
 The mark is of the same type as the update column and is compared as that
-type; a time is stored in UTC, so the session zone does not matter. It is kept in a small state table to which marks are only ever added; the highest
-one counts, so a crash while saving loses nothing.
+type; a time is stored in UTC, so the session zone does not matter. Marks are
+kept per feed in a commit log, where a new one is added only behind the one it
+was compared with: of two pullers that started from the same mark one moves it
+and the other is told. The log folds itself, so it stays short.
 """
 
 from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampType
 
 from incident_engine.schemas import PAGE_SIZE
-from incident_engine.sources.files import path_exists
+from incident_engine.sources.commit_log import CommitLog
 
-_STATE_DDL = "feed string, mark string"
+
+class MarkMovedError(RuntimeError):
+    """Another puller moved the mark meanwhile; the rows of this cycle were sent by both."""
 
 
 def rows_since(table: DataFrame, update_field: str, mark: str | None, inclusive: bool = False,
@@ -46,24 +51,35 @@ def next_mark(table: DataFrame, update_field: str, mark: str | None) -> DataFram
     return table.agg(F.greatest(F.max(update_field), old).alias("next_mark"))
 
 
-def load_mark(spark: SparkSession, path: str, feed: str,
-              kind: DataType = StringType()) -> str | None:
-    """Greatest saved mark of the feed as ``kind``, or nothing when none was ever saved."""
-    if not path_exists(spark, path):
-        return None
-    saved = spark.read.schema(_STATE_DDL).parquet(path).filter(F.col("feed") == feed)
-    return saved.agg(F.max(F.struct(F.col("mark").cast(kind).alias("value"), "mark"))["mark"]).first()[0]
+def mark_log(spark: SparkSession, path: str, feed: str) -> CommitLog:
+    return CommitLog(spark, f"{path}/{quote(feed, safe='')}", fold=lambda entries: entries[-1:])
+
+
+def _last(log: CommitLog) -> tuple[int, str | None]:
+    number, entries = log.read()
+    return number, entries[-1]["mark"] if entries else None
+
+
+def load_mark(spark: SparkSession, path: str, feed: str) -> str | None:
+    """Last saved mark of the feed, or nothing when none was ever saved."""
+    return _last(mark_log(spark, path, feed))[1]
+
+
+def _moves(spark: SparkSession, mark: str | None, old: str | None, kind: DataType) -> bool:
+    return mark is not None and (old is None or spark.range(1).select(
+        F.lit(mark).cast(kind) > F.lit(old).cast(kind)).first()[0])
 
 
 def save_mark(spark: SparkSession, path: str, feed: str, mark: str | None,
               kind: DataType = StringType()) -> bool:
-    """Add the mark if it moved forward; tells whether it did."""
-    old = load_mark(spark, path, feed, kind)
-    if mark is None or (old is not None and not spark.range(1).select(
-            F.lit(mark).cast(kind) > F.lit(old).cast(kind)).first()[0]):
-        return False
-    spark.createDataFrame([(feed, mark)], _STATE_DDL).coalesce(1).write.mode("append").parquet(path)
-    return True
+    """Add the mark if it is ahead of the last one, whoever saved that; tells whether it was."""
+    log = mark_log(spark, path, feed)
+    while True:
+        number, old = _last(log)
+        if not _moves(spark, mark, old, kind):
+            return False
+        if log.commit(number, {"mark": mark}):
+            return True
 
 
 def pull_once(table: DataFrame, update_field: str, state: str, feed: str, sink,
@@ -72,12 +88,15 @@ def pull_once(table: DataFrame, update_field: str, state: str, feed: str, sink,
 
     The sink runs over the table once; the new mark is observed on the way and
     saved only after the sink came back. A failed sink leaves the mark alone,
-    so the next cycle sends the same rows again and none is lost. ``inclusive``
-    and ``key`` are those of ``rows_since``.
+    so the next cycle sends the same rows again and none is lost. If another
+    puller moved the mark while the sink ran, MarkMovedError is raised and the
+    mark is left to the other. ``inclusive`` and ``key`` are those of ``rows_since``.
     """
     spark = table.sparkSession
     kind = table.schema[update_field].dataType
-    rows = rows_since(table, update_field, load_mark(spark, state, feed, kind), inclusive, key)
+    log = mark_log(spark, state, feed)
+    number, old = _last(log)
+    rows = rows_since(table, update_field, old, inclusive, key)
     seen = Observation(f"pull-{feed}")
     latest = F.max(update_field)
     timed = isinstance(kind, TimestampType)
@@ -86,5 +105,6 @@ def pull_once(table: DataFrame, update_field: str, state: str, feed: str, sink,
     mark = seen.get["mark"]
     if timed and mark is not None:
         mark = (datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=mark)).isoformat()
-    save_mark(spark, state, feed, mark, kind)
+    if _moves(spark, mark, old, kind) and not log.commit(number, {"mark": mark}):
+        raise MarkMovedError(f"the mark of {feed} is no longer {old}")
     return seen.get["rows"]

@@ -16,7 +16,9 @@ from incident_engine.operators.records import (
     seattle_view,
 )
 from incident_engine.schemas import CHICAGO_RECORD, SEATTLE_RECORD
+from incident_engine.sinks.batch_log import logged_batch_writer
 from incident_engine.sinks.files import csv_batch_writer
+from incident_engine.sources.changes import stream_changes
 from incident_engine.sources.messages import MessageSource, stream_messages
 
 POLL = "1 minute"
@@ -46,17 +48,20 @@ SEATTLE = FeedSpec("seattle", SEATTLE_RECORD, seattle_view)
 
 
 def start_feed(spark: SparkSession, feed: FeedSpec, source: MessageSource, output: str,
-               checkpoint: str, files: int | None = None, poll: str | None = POLL) -> StreamingQuery:
+               checkpoint: str, files: int | None = None, poll: str | None = POLL,
+               writer: Callable = csv_batch_writer) -> StreamingQuery:
     """Start one feed. With ``poll=None`` it takes what is there and ends.
 
     The layout is applied before ``foreachBatch``, so that the batch holds the
-    written columns only. ``checkpoint`` must be this feed's own.
+    written columns only. ``checkpoint`` must be this feed's own. ``writer`` is
+    ``csv_batch_writer`` (a folder per batch id) or ``logged_csv_writer`` (a folder
+    per attempt and a log of those that count).
     """
     trigger = {"processingTime": poll} if poll else {"availableNow": True}
     return (
         feed.rows(stream_messages(spark, source))
         .writeStream.queryName(f"feed-{feed.name}")
-        .foreachBatch(csv_batch_writer(output, files))
+        .foreachBatch(writer(output, files))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -73,6 +78,24 @@ def start_feeds(spark: SparkSession, feeds: dict[FeedSpec, MessageSource], root:
     ]
 
 
+def start_pull_stream(spark: SparkSession, path: str, schema: StructType | str, update: str,
+                      output: str, checkpoint: str, poll: str | None = POLL) -> StreamingQuery:
+    """Pull the changed rows of the table at ``path`` into committed Parquet batches.
+
+    The offset of the query is the mark: a restart goes on behind the last committed
+    batch, and a batch that is replayed has the same rows and is written once.
+    """
+    trigger = {"processingTime": poll} if poll else {"availableNow": True}
+    return (
+        stream_changes(spark, path, schema, update)
+        .writeStream.queryName("pull-changes")
+        .foreachBatch(logged_batch_writer(output, lambda rows, to: rows.write.parquet(to)))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_pull(spark: SparkSession, pull: Callable[[], int], checkpoint: str,
                poll: str = "1 hour") -> StreamingQuery:
     """Run a pull cycle at every poll, as a streaming query that can be watched and stopped.

@@ -14,7 +14,7 @@ MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", cores="8")
+    session = build_session("tests", cores=os.environ.get("TEST_CPUS", "8"))
     yield session
     session.stop()
 

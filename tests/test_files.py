@@ -147,3 +147,44 @@ def test_csv_batch_replay_adds_nothing(spark, tmp_path):
 def test_csv_batch_error_is_raised(spark, tmp_path):
     with pytest.raises(Exception):
         sinks.csv_batch_writer(str(tmp_path / "rows"))(spark.range(3).select(F.raise_error(F.lit("no"))), 0)
+
+
+def test_every_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "d" / "sub").mkdir(parents=True)
+    write(tmp_path / "d" / "one.csv", 'A,B,"C, c"\n1,2,3\n1,2,3,4\n5\n')
+    write(tmp_path / "d" / "two.csv", '\ufeff"C, c",A\nx,y\nx,y,z\n"q,""r""",s\n')
+    write(tmp_path / "d" / "sub" / "three.csv", "A,B,\"C, c\"\r\n7,8,9\r\n")
+    write(tmp_path / "d" / "none.csv", "")
+    write(tmp_path / "d" / "_hidden.csv", "Z\n1\n")
+    df = files.scan_csv_skip_long(spark, str(tmp_path / "d"))
+    rows = sorted(map(tuple, df.select("A", "B", "C, c").collect()), key=str)
+    assert df.columns[:3] and set(df.columns) == {"A", "B", "C, c"}
+    assert rows == sorted([("1", "2", "3"), ("5", None, None), ("y", None, "x"), ("s", None, 'q,"r"'),
+                           ("7", "8", "9")], key=str)
+    again = files.scan_csv_skip_long(spark, str(tmp_path / "d" / "*.csv"), columns=["a", "b", "c"])
+    assert again.columns == ["a", "b", "c"]
+
+
+def test_first_lines_of_compressed_files(spark, tmp_path):
+    spark.createDataFrame([("1", "2")], "u string, v string").coalesce(1).write.option(
+        "header", True).option("compression", "gzip").csv(str(tmp_path / "z"))
+    write(tmp_path / "z" / "plain.csv", "v,u\n4,3\n")
+    names = files.data_files(spark, str(tmp_path / "z"))
+    assert sorted(files.first_lines(spark, names).values()) == ["u,v", "v,u"]
+    rows = files.scan_csv_skip_long(spark, str(tmp_path / "z")).select("u", "v").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2"), ("3", "4")]
+
+
+@pytest.mark.parametrize("copy", [True, False])
+def test_feature_collection_in_parts(spark, tmp_path, copy):
+    """Many tasks write it; the parts in order of their names are the document."""
+    out = tmp_path / "hot"
+    shuffled = cells(spark, 700).orderBy(F.rand(1))
+    how = sinks.write_feature_collection(shuffled, str(out), ["grid_id"], part_rows=100, copy=copy)
+    parts = sorted(p for p in os.listdir(out) if p.startswith("part"))
+    assert (how, len(parts) == 1) == (("copy", True) if copy else ("parts", False))
+    texts = [(out / p).read_text() for p in parts]
+    document = json.loads("".join(texts))
+    assert [f["properties"]["grid_id"] for f in document["features"]] == list(range(700))
+    if not copy:
+        assert len(parts) >= 6 and max(t.count("\n") for t in texts) < 300

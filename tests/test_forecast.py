@@ -162,3 +162,46 @@ def test_ridge_refuses_a_missing_rate_or_area(spark, ridge):
         forecast.predict_ridge(spark.createDataFrame([("a", 2030, 1, None)], REQUEST), models).collect()
     with pytest.raises(PySparkException, match="no model for area z"):
         forecast.predict_ridge(spark.createDataFrame([("z", 2030, 1, 5.0)], REQUEST), models).collect()
+
+
+def ridge_by_hand(t, y, x):
+    """The same model in one go: line, standardised inputs weighed by the trend, ridge."""
+    slope, intercept = np.polyfit(t, y, 1)
+    trend = intercept + slope * t
+    level = np.sqrt(np.mean(trend ** 2))
+    scale = np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0)
+    u = (x - x.mean(axis=0)) / scale * (trend / level)[:, None]
+    return np.linalg.solve(u.T @ u + np.eye(x.shape[1]), u.T @ ((y - trend) / level)), trend
+
+
+def test_ridge_weights_equal_one_solve_over_all_rows(spark):
+    """Also where the trend falls below 0, whose rows count like any other."""
+    values = {"up": [30 + i + (i % 12) * 2 for i in range(50)],
+              "down": [max(60 - 6 * i, 0) + (i % 3 == 0) * (i < 12) * 20 for i in range(40)],
+              "flat": [0] * 12}
+    table = forecast.split_series(features.with_rate(series(spark, **values), None))
+    models = {r["AREA"]: r for r in forecast.fit_ridge(table).collect()}
+    train = table.filter("not is_test").select(
+        "AREA", "ds", "crime_count", forecast.ridge_inputs().alias("x")).orderBy("AREA", "ds").collect()
+    below = {}
+    for area in values:
+        rows = [r for r in train if r["AREA"] == area]
+        x = np.array([r["x"] for r in rows])
+        want, trend = ridge_by_hand(np.arange(len(rows), dtype=float),
+                                    np.array([r["crime_count"] for r in rows], float), x) \
+            if area != "flat" else (np.zeros(35), np.zeros(len(rows)))
+        assert models[area]["n_train"] == len(rows)
+        assert np.allclose(models[area]["weight"], want, atol=1e-7)
+        below[area] = int((trend <= 0).sum())
+    assert below["down"] > 5
+
+
+def test_gram_sums_do_not_depend_on_the_partitions(spark, ridge):
+    table, _ = ridge
+    train = forecast._train_rows(table)
+    sums = [{(r["AREA"], r["i"], r["j"]): r["s"] for r in
+             forecast.ridge_gram(train.repartition(n), forecast._moments(train)).collect()}
+            for n in (1, 7)]
+    assert len(sums[0]) == 2 * (35 * 36 // 2 + 35)
+    assert sums[0].keys() == sums[1].keys()
+    assert all(sums[0][k] == pytest.approx(sums[1][k], abs=1e-9) for k in sums[0])

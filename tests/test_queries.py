@@ -8,8 +8,6 @@ import __spark_entry__ as entry_points
 from incident_engine.catalog.oracle import ORACLE
 from incident_engine.catalog.queries import QUERIES
 
-ROWS_ONLY = {"forecast_fit"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -18,9 +16,8 @@ def con():
     connection.close()
 
 
-def test_only_the_ridge_fit_has_no_sql():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
-    assert set(ORACLE) <= set(QUERIES) <= set(entry_points.queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE) <= set(entry_points.queries())
     assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
@@ -29,12 +26,6 @@ def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, MEDIUM), con, ORACLE[name]) is None
 
 
-def test_fit_has_one_model_per_area(spark):
-    rows = QUERIES["forecast_fit"](spark, MEDIUM).collect()
-    assert len(rows) == 20
-    assert {len(r["coefficients"]) for r in rows} == {35}
-
-
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["grid_id", "ix", "iy", "avg_tp", "prev_n", "rk"]
