@@ -183,8 +183,9 @@ def mark_round_trip(spark, sf):
         pull.pull_once(known, "updated_ts", f"{folder}/state", "chi",
                        lambda new: new.write.parquet(f"{folder}/out/cycle={cycle}"))  # noqa: B023
         saved.append((cycle, pull.load_mark(spark, f"{folder}/state", "chi")))
-    marks = spark.createDataFrame(saved, "cycle long, mark string").withColumn(
-        "mark", timestamps.to_text(F.col("mark").cast("timestamp_ntz")))
+    listed = ", ".join(f"({cycle}L, timestamp_ntz '{mark}')" for cycle, mark in saved)
+    marks = spark.sql(f"select * from values {listed} as t(cycle, mark)").withColumn(
+        "mark", timestamps.to_text("mark"))
     sent = spark.read.parquet(f"{folder}/out").groupBy(F.col("cycle").cast("bigint").alias("cycle"))
     return sent.agg(n_rows(), F.countDistinct("id").alias("ids")).join(F.broadcast(marks), "cycle")
 

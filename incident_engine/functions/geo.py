@@ -48,6 +48,13 @@ class GridSpec:
     def left(self, ix: str = "ix") -> str:
         return f"({self.xmin!r}D + {ix} * {self.width})"
 
+    def right(self, ix: str = "ix") -> str:
+        """Right side of a column, which is the left side of the next one to the last bit."""
+        return f"({self.xmin!r}D + ({ix} + 1) * {self.width})"
+
+    def middle(self, iy: str = "iy") -> str:
+        return f"({self.bottom(iy)} + {self.width} / 2)"
+
     def bottom(self, iy: str = "iy") -> str:
         return f"({self.ymin!r}D + {iy} * {self.width})"
 
@@ -77,13 +84,30 @@ def ring_edges(ring: str = "ring") -> str:
     )
 
 
-def inside_edges(edges: str, x: str, y: str) -> str:
-    """Even-odd rule over the edges of all rings, so holes need no special case.
+def inside_cell(grid: GridSpec, edges: str, odd: str, x: str, y: str) -> str:
+    """Even-odd rule over the edges of all rings (so holes need no special case), by the edges that
+    meet the point's cell ``ix, iy`` and the bit of its right side.
 
-    A ray runs from the point towards +x. Only an edge that spans y (half open)
-    is divided by its height, which is then not zero.
+    The path runs from the point towards +x up to the right side of the cell, then on that side to
+    its middle, where ``odd`` tells whether it is inside. Counted are the edges that the first part
+    crosses and those that cross the side between the point's height and the middle. Where an edge
+    is at a height is computed in one way, and an edge counts at its lower end but not at its upper
+    one, so the answers are those of the rule over all edges to the last bit.
     """
-    return (
-        f"size(filter({edges}, e -> if((e.y1 > {y}) != (e.y2 > {y}), "
-        f"{x} < (e.x2 - e.x1) * ({y} - e.y1) / (e.y2 - e.y1) + e.x1, false))) % 2 = 1"
-    )
+    side = grid.right()
+
+    def at(v: str) -> str:
+        return f"(e.x2 - e.x1) * ({v} - e.y1) / (e.y2 - e.y1) + e.x1"
+
+    def below(v: str) -> str:
+        """Does the edge cross the side below the height? It is right of it above the crossing if
+        it leans to the right, else below."""
+        return (f"if((e.y1 > {v}) != (e.y2 > {v}), "
+                f"({at(v)} > {side}) = ((e.x2 > e.x1) = (e.y2 > e.y1)), e.y1 <= {v})")
+
+    crosses = f"(e.x1 > {side}) != (e.x2 > {side})"
+    along = (f"if((e.y1 > {y}) != (e.y2 > {y}), "
+             f"{at(y)} > {x} and if({crosses}, {at(y)} <= {side}, e.x1 <= {side}), false)")
+    up = f"if({crosses}, {below(y)} != {below(grid.middle())}, false)"
+    return (f"(size(filter({edges}, e -> {along})) + size(filter({edges}, e -> {up})) "
+            f"+ if({odd}, 1, 0)) % 2 = 1")

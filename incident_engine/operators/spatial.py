@@ -6,10 +6,10 @@ A boundary is a frame with polygon key columns and a closed ``ring`` per row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from incident_engine.functions.geo import GridSpec, inside_edges, ring_edges
+from incident_engine.functions.geo import GridSpec, inside_cell, ring_edges
 from incident_engine.operators.joins import join_keyed
 from incident_engine.schemas import CELL_SIZE
 from incident_engine.session import materialize
@@ -32,15 +32,16 @@ def grid_over(boundary: DataFrame, step: float = CELL_SIZE) -> GridSpec:
     return GridSpec(extent["xmin"], extent["ymin"], extent["xmax"], extent["ymax"], step)
 
 
-def _strips(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
-    """Polygons cut into grid rows: ``keys, iy, edges, rim, crossings``.
+def _pieces(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
+    """Edges cut at grid rows and columns: ``keys, iy, ix, edge, crosses``.
 
-    ``edges`` are those that meet the closed row, ``rim`` the columns that each
-    of them meets there, ``crossings`` the sorted x of those that pass the
-    middle of the row. A row gathers one polygon's edges in it and no more.
+    A row per edge and closed cell that it meets, so in proportion to the edges. What lies beyond
+    the grid at the left or right is put into the columns -1 and nx. ``crosses`` is 1 in the one
+    column, its left side open and its right side closed, in which the edge passes the middle of
+    the row.
     """
     bottom, top = grid.bottom(), grid.box()["ymax"]
-    middle = f"({bottom} + {grid.width} / 2)"
+    middle = grid.middle()
     low_y, high_y = "least(y1, y2)", "greatest(y1, y2)"
     rows = grid.rows_between(f"{grid.y_index(low_y)} - 1", f"{grid.y_index(high_y)} + 1")
 
@@ -50,7 +51,8 @@ def _strips(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
 
     enter, leave = x_at(f"greatest({low_y}, {bottom})"), x_at(f"least({high_y}, {top})")
     before, after = f"({grid.x_index('low')} - 1)", f"({grid.x_index('high')} + 1)"
-    pieces = (
+    held = lambda ix: f"least(greatest({ix}, -1L), {grid.nx}L)"
+    return (
         boundary.selectExpr(*keys, f"inline({ring_edges()})")
         .selectExpr("*", f"explode({rows}) as iy")
         .where(f"{low_y} <= {top} and {high_y} >= {bottom}")
@@ -63,39 +65,38 @@ def _strips(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
         # A piece that ends on a column's edge meets the column beyond it too.
         .selectExpr(
             "*", f"if({grid.left(before)} + {grid.width} >= low, {before}, {before} + 1) as first",
-            f"if({grid.left(after)} <= high, {after}, {after} - 1) as last")
-    )
-    return pieces.groupBy(*keys, "iy").agg(
-        F.expr("collect_list(struct(x1, y1, x2, y2)) as edges"),
-        F.expr(f"collect_list({grid.columns_between('first', 'last')}) as rim"),
-        F.expr("sort_array(collect_list(crossing)) as crossings"),
+            f"if({grid.left(after)} <= high, {after}, {after} - 1) as last",
+            f"{grid.x_index('crossing')} as at")
+        .selectExpr(
+            "*", f"if(crossing <= {grid.left('at')}, at - 1, "
+                 f"if(crossing > {grid.right('at')}, at + 1, at)) as home")
+        .selectExpr("*", f"explode(sequence({held('least(first, coalesce(home, first))')}, "
+                         f"{held('greatest(last, coalesce(home, last))')})) as ix")
+        .selectExpr(*keys, "iy", "ix", "named_struct('x1', x1, 'y1', y1, 'x2', x2, 'y2', y2) as edge",
+                    f"if(home is not null and {held('home')} = ix, 1, 0) as crosses")
     )
 
 
 def polygon_cover(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
-    """Polygons cut into grid cells: ``keys, ix, iy, edges``.
+    """Polygons cut into grid cells: ``keys, ix, iy, edges, odd``.
 
-    A cell on the rim meets an edge and keeps those edges that a ray from one
-    of its points towards +x can cross. Any other cell is inside as a whole,
-    told by its centre, and carries no edges. Write it once and reuse it.
+    A cell on the rim keeps the edges that meet it and no others, and one bit: is the middle of its
+    right side inside the polygon (an odd number of edges lies beyond it)? That and its own edges
+    tell any of its points. The cells between two rim cells of a row have no edge; they are inside
+    as a whole if that bit of the left one is set, and carry no edges. Write it once and reuse it.
     """
-    centre = f"({grid.left()} + {grid.width} / 2)"
-    span = grid.columns_between(grid.x_index("crossings[2 * i]"),
-                                grid.x_index("crossings[2 * i + 1]"))
-    spans = f"""flatten(transform(
-        filter(sequence(0, size(crossings) div 2), i -> 2 * i + 1 < size(crossings)),
-        i -> filter(coalesce({span}, array()),
-          ix -> {centre} > crossings[2 * i] and {centre} < crossings[2 * i + 1])))"""
-    ahead = f"filter(edges, e -> greatest(e.x1, e.x2) >= {grid.left()})"
-    return (
-        _strips(boundary, grid, keys)
-        .selectExpr(*keys, "iy", "edges", "crossings", "array_distinct(flatten(rim)) as rim")
-        .selectExpr(*keys, "iy", "edges", "rim", f"array_except({spans}, rim) as whole")
-        .selectExpr(*keys, "iy", f"""inline(concat(
-            transform(rim, ix -> named_struct('ix', ix, 'edges', {ahead})),
-            transform(whole, ix -> named_struct('ix', ix, 'edges', null))))""")
-        .select(*keys, "ix", "iy", "edges")
-    )
+    row = Window.partitionBy(*keys, "iy").orderBy("ix")
+    beyond = row.rowsBetween(1, Window.unboundedFollowing)
+    rim = _pieces(boundary, grid, keys).groupBy(*keys, "iy", "ix").agg(
+        F.collect_list("edge").alias("edges"), F.sum("crosses").alias("n"))
+    rim = rim.withColumns({
+        "odd": F.coalesce(F.sum("n").over(beyond), F.lit(0)) % 2 == 1,
+        "next": F.coalesce(F.lead("ix").over(row), F.lit(grid.nx))})
+    whole = "if(odd and next > ix + 1, sequence(ix + 1, next - 1), array())"
+    return rim.selectExpr(*keys, "iy", f"""inline(concat(
+        array(named_struct('ix', ix, 'edges', edges, 'odd', odd)),
+        transform({whole}, x -> named_struct('ix', x, 'edges', null, 'odd', true))))""") \
+        .where(f"ix between 0 and {grid.nx - 1}").select(*keys, "ix", "iy", "edges", "odd")
 
 
 def cells_on_boundary(boundary: DataFrame, grid: GridSpec, keys: list[str]) -> DataFrame:
@@ -139,12 +140,13 @@ def known_position(x: str = "lon", y: str = "lat") -> Column:
 
 
 def with_cell_index(points: DataFrame, grid: GridSpec, x: str = "lon", y: str = "lat") -> DataFrame:
-    """Add ``ix, iy``: null when a coordinate is null or zero, or lies on a cell edge."""
+    """Add ``ix, iy``: null when a coordinate is null or zero, off the grid, or on a cell edge.
+    Rows without them match no cell and take no part in the shuffle of a join."""
     ix, iy = grid.x_index(x), grid.y_index(y)
     box = grid.box(ix, iy)
     strictly = (f"{x} > {box['xmin']} and {x} < {box['xmax']} "
                 f"and {y} > {box['ymin']} and {y} < {box['ymax']}")
-    usable = known_position(x, y) & F.expr(strictly)
+    usable = known_position(x, y) & F.expr(f"{grid.holds(x, y)} and {strictly}")
     return points.withColumns({
         "ix": F.when(usable, F.expr(ix)), "iy": F.when(usable, F.expr(iy))})
 
@@ -167,5 +169,5 @@ def points_in_polygons(points: DataFrame, cover: DataFrame, grid: GridSpec,
     located = points.where(grid.holds(x, y)).withColumns({
         "ix": F.expr(grid.x_index(x)), "iy": F.expr(grid.y_index(y))})
     pairs = join_keyed(located, cover, ["ix", "iy"], "inner", broadcast=broadcast)
-    inside = f"edges is null or {inside_edges('edges', x, y)}"
-    return pairs.where(inside).drop("ix", "iy", "edges")
+    inside = f"edges is null or {inside_cell(grid, 'edges', 'odd', x, y)}"
+    return pairs.where(inside).drop("ix", "iy", "edges", "odd")

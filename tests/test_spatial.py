@@ -176,3 +176,67 @@ def test_every_inside_point_meets_one_cell(spark, small):
     inside = spatial.points_in_polygons(points.select("lon", "lat"), cover, grid)
     lost = spatial.points_to_cells(inside, cells, grid).filter(F.col("grid_id").isNull())
     assert inside.count() > 0 and lost.count() == 0
+
+
+@pytest.mark.parametrize("name", POLYGONS)
+@pytest.mark.parametrize("grid", [BINARY, GridSpec(0.5, 0.25, 1.25, 1.5, 0.25)], ids=["whole", "part"])
+def test_points_on_a_lattice_equal_the_rule_over_all_edges(spark, name, grid):
+    """Points on grid lines, on vertices' heights and on edges; also where the grid is but a part
+    of the polygons, whose edges beyond it decide as well."""
+    polygons = POLYGONS[name]
+    lattice = [(i / 16, j / 16) for i in range(33) for j in range(33)]
+    lattice += [(x, y) for rings in polygons for ring in rings for x, y in ring]
+    points = [(n, x, y) for n, (x, y) in enumerate(lattice)
+              if grid.xmin <= x < grid.xmax and grid.ymin <= y < grid.ymax]
+    cover = spatial.polygon_cover(boundary(spark, *polygons), grid, KEYS)
+    found = spatial.points_in_polygons(
+        spark.createDataFrame(points, "id long, lon double, lat double"), cover, grid)
+    assert sorted((r["id"], r["polygon_id"]) for r in found.collect()) == sorted(
+        (i, n) for i, x, y in points for n, rings in enumerate(polygons)
+        if inside_polygon(rings, x, y))
+
+
+def test_edge_copies_grow_with_the_vertices_alone(spark):
+    """A ring of 100,000 vertices: an edge is copied to the cells that it meets, and a cell has its
+    own edges only, however many lie beside it in its row."""
+    import math
+    n = 100_000
+    ring = [(5 + (4 + 0.4 * math.sin(300 * a)) * math.cos(a), 5 + (4 + 0.4 * math.sin(300 * a)) * math.sin(a))
+            for a in (2 * math.pi * i / n for i in range(n))]
+    frame = boundary(spark, [ring])
+    grid = GridSpec(0.0, 0.0, 10.0, 10.0, 0.05)
+    cover = spatial.polygon_cover(frame, grid, KEYS).cache()
+    copies, most = cover.selectExpr("sum(size(edges))", "max(size(edges))").first()
+    assert n <= copies < 1.3 * n and most < 200
+    rng = random.Random(4)
+    points = [(i, rng.uniform(0, 10), rng.uniform(0, 10)) for i in range(3000)]
+    found = spatial.points_in_polygons(
+        spark.createDataFrame(points, "id long, lon double, lat double"), cover, grid)
+    def inside(x, y):
+        a = math.atan2(y - 5, x - 5)
+        return math.hypot(x - 5, y - 5) - (4 + 0.4 * math.sin(300 * a))
+    sure = {i: inside(x, y) < 0 for i, x, y in points if abs(inside(x, y)) > 1e-3}
+    got = {r["id"] for r in found.collect()}
+    assert len(sure) > 2900 and {i for i in sure if i in got} == {i for i in sure if sure[i]}
+
+
+def test_rows_off_the_grid_stay_out_of_the_join(spark):
+    """Nine points in ten are off the grid, half of the others in one cell."""
+    cells = spark.sql("select ix, iy, ix * 8 + iy as grid_id from "
+                      "(select explode(sequence(0L, 7L)) as ix), (select explode(sequence(0L, 7L)) as iy)")
+    points = spark.range(0, 20_000, 1, 8).selectExpr(
+        "id", "case when id % 10 > 0 then 50 + id when id % 20 = 0 then 0.3 else (id % 199) / 100 + 0.001 end lon",
+        "case when id % 20 = 0 then 0.3 else (id % 197) / 100 + 0.001 end lat")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = spatial.points_to_cells(points, cells, BINARY, broadcast=False)
+        assert got.count() == 20_000 and got.filter("grid_id = 9").count() >= 1000
+        located = spatial.with_cell_index(points, BINARY)
+        assert located.filter("id % 10 > 0 and ix is not null").isEmpty()
+        inside = got.filter("grid_id is not null")
+        sizes = [r["count"] for r in inside.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 0.4 * sum(sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
