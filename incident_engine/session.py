@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_SCOPE: ContextVar[list[str] | None] = ContextVar("tables_of_scope", default=None)
 
 
 def build_session(app: str = "incident-engine", cores: str = "*", shuffle_partitions: int = 8,
@@ -55,6 +58,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     scan then runs once, the lineage is cut, and a lost executor costs nothing.
     """
     path = os.path.join(workspace_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
     return load_or_build(df.sparkSession, path, lambda: df)
 
 
@@ -66,3 +71,25 @@ def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def tables_noted() -> Iterator[list[str]]:
+    """Paths of the tables that ``materialize`` writes inside the block, for ``drop_tables`` once
+    nothing reads them any more. A block around this one notes them as well."""
+    noted: list[str] = []
+    outer = _SCOPE.get()
+    token = _SCOPE.set(noted)
+    try:
+        yield noted
+    finally:
+        _SCOPE.reset(token)
+        if outer is not None:
+            outer.extend(noted)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of ``materialize``."""
+    for path in paths:
+        table = spark._jvm.org.apache.hadoop.fs.Path(path)
+        table.getFileSystem(spark._jsc.hadoopConfiguration()).delete(table, True)
