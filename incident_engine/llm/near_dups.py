@@ -13,8 +13,8 @@ sketches. The texts of all larger buckets are then dealt anew by an exact key: o
 text, rare ones first, each of the first n - ceil(0.8 n) + 1, one of which two near texts share. These
 buckets are gone through in rounds: in each that still holds more than one class, texts outside its
 largest class become leaders, four times as many each round, and meet all texts of other classes
-there, until it holds one class or each of them has met all others. Pairs whose sizes or places of
-the shared shingle rule out 0.8 are left out. So no near pair that meets in a bucket stays in two
+there, until it holds one class or each of them has met all others. Pairs whose sizes, places of
+the shared shingle or signatures (a bit for each shingle) rule out 0.8 are left out. So no near pair that meets in a bucket stays in two
 classes, and the only near pairs missed are those that share no sketch at all. The price is up to
 one pair for each two texts of a hot group that are in different classes, be they near or not.
 
@@ -43,6 +43,9 @@ SKETCHES, TAKEN = 16, 3
 SMALL, LEADERS = 6, 3
 #: Slots in which shingles are counted to put rare ones first; any order gives the same classes.
 SLOTS = 1 << 22
+#: 64-bit words of a signature: the bits of a text's hashed shingles.
+SIGNATURE = 16
+_MARKS = [f"m{i}" for i in range(SIGNATURE)]
 #: Texts whose words and shingles a task keeps while it checks pairs.
 KEPT_SETS = 128
 
@@ -195,7 +198,7 @@ def _candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _prefixes(words: DataFrame, least: float) -> DataFrame:
-    """Buckets (bucket, id, place, size) by prefix filter. Two of ``words`` (id, words) that are
+    """Buckets (bucket, id, place, size and the signature) by prefix filter. Two of ``words`` (id, words) that are
     near share one of their first ``size`` - ceil(``least`` * ``size``) + 1 shingles, if all texts
     have theirs in one order; here rare ones come first, by counts in hashed slots."""
     def sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -225,20 +228,34 @@ def _prefixes(words: DataFrame, least: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grams[order[place]].view(np.int64)),
                      pa.array(np.full(len(place), id_, np.int64)), pa.array(place),
-                     pa.array(np.full(len(place), n, np.int64))],
-                    names=["bucket", "id", "place", "size"])
+                     pa.array(np.full(len(place), n, np.int64))]
+                    + [pa.array(np.full(len(place), m, np.int64)) for m in signature(grams)],
+                    names=["bucket", "id", "place", "size", *_MARKS])
 
-    found = materialize(words.mapInArrow(cut, "bucket long, id long, place long, size long"),
-                        "near-prefixes")
+    marks = ", ".join(f"{m} long" for m in _MARKS)
+    found = materialize(words.mapInArrow(
+        cut, f"bucket long, id long, place long, size long, {marks}"), "near-prefixes")
     several = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return materialize(found.join(several.select("bucket").hint("merge"), "bucket"), "near-shared")
 
 
+def signature(grams: np.ndarray) -> np.ndarray:
+    """One bit for each shingle, at a hashed place; as signed 64-bit numbers."""
+    bits = np.zeros(SIGNATURE * 64, np.uint8)
+    bits[mix(grams) % np.uint64(len(bits))] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def _may(least: float):
-    """May the texts of two entries of a prefix bucket be near, by sizes and by what is left of
-    both behind the shared shingle? True in the bucket of the first one that two near texts share."""
+    """May the texts of two entries of a prefix bucket be near, by sizes, by what is left of both
+    behind the shared shingle, and by their signatures? A bit that one has and the other lacks is a
+    shingle or more that the other lacks, so each such bit is one shared shingle less. True in the
+    bucket of the first one that two near texts share."""
     one, two = F.col("size"), F.col("lead_size")
-    left = F.least(one - F.col("place"), two - F.col("lead_place"))
+    lack = lambda a, b: sum((F.bit_count(F.col(f"{a}{m}").bitwiseAND(
+        F.bitwise_not(F.col(f"{b}{m}")))) for m in _MARKS), F.lit(0))
+    left = F.least(one - F.col("place"), two - F.col("lead_place"),
+                   one - lack("", "lead_"), two - lack("lead_", ""))
     return (F.least(one, two) >= least * F.greatest(one, two) - 1e-6) & (
         left >= least / (1 + least) * (one + two) - 1e-6)
 
@@ -247,8 +264,9 @@ def _bridges(rest: DataFrame, roots: DataFrame, met: DataFrame | None, step: int
              least: float | None = None):
     """Pairs that may join two classes of one large bucket, and the (bucket, id) of all leaders
     so far; None if no text is left to lead. ``met``: the leaders of the rounds before. With
-    ``least``, ``rest`` has place and size too, and pairs that these rule out are left out."""
-    more = [] if least is None else ["place", "size"]
+    ``least``, ``rest`` has place, size and signature too, and pairs that these rule out are left
+    out by the join itself, before any words move."""
+    more = [] if least is None else ["place", "size", *_MARKS]
     placed = rest.join(roots.hint("merge"), "id", "left").select(
         "bucket", "id", *more, F.coalesce("root", "id").alias("root"))
     divided = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \

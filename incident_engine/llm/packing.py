@@ -173,7 +173,16 @@ class Bins:
                             break
                 emptied |= not self.items[b]
             if not emptied:
-                return
+                break
+        self._merge()
+
+    def _merge(self) -> None:
+        """Moves of whole bins: what is left of one goes into another that has room for all of it."""
+        for b in sorted((b for b in range(len(self.items)) if self.items[b] and self.room[b]),
+                        key=lambda b: -self.room[b]):
+            to = self.best(self.capacity - self.room[b], but=b)
+            while to >= 0 and self.items[b]:
+                self.put(to, *self.take(b, -1))
 
 
 def pack_lengths(lengths: list[int], capacity: int) -> list[list[tuple[int, int]]]:
@@ -218,7 +227,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         groups = max(1, -(-count // group_pieces))
         last = groups == 1 or level == LEVELS - 1
 
-        salt = F.xxhash64(*[F.col(k) for k in columns], F.lit(level))
+        # the row's place in the written table parts equal rows
+        salt = F.xxhash64(*[F.col(k) for k in columns], F.lit(level), F.monotonically_increasing_id())
         packed = materialize(
             left.withColumn("__group", F.pmod(salt, F.lit(groups))).groupBy("__group")
             .applyInPandas(_packer(capacity, level, last), f"{kinds}, sequence_id long, offset long"), "pack-level")

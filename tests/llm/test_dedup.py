@@ -256,3 +256,54 @@ def test_toxic_rows_go_by_id_and_text(spark, monkeypatch):
                                  "doc_id long, text string")
     left = corpus_pipeline.toxic_out(spark, docs, "")
     assert sorted(r.text for r in left.collect()) == ["fine", "good"]
+
+
+def test_signatures_rule_out_no_near_pair():
+    """The bound on shared shingles by signatures is never below what two texts share."""
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rng.integers(1, 900))
+        one = np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64))
+        two = np.unique(np.concatenate((one[rng.random(len(one)) < rng.random()],
+                                        rng.integers(0, 1 << 60, int(rng.integers(1, 400))).astype(np.uint64))))
+        a, b = (near_dups.signature(x).view(np.uint64) for x in (one, two))
+        lack = [sum(int(x).bit_count() for x in p & ~q) for p, q in ((a, b), (b, a))]
+        both = len(np.intersect1d(one, two))
+        assert both <= min(len(one) - lack[0], len(two) - lack[1])
+
+
+def brute_strip(texts, length):
+    """Bytes of strings that start at two places or more, taken out of every text."""
+    seen = {}
+    datas = [(t or "").encode() for t in texts]
+    for d in datas:
+        for i in range(len(d) - length + 1):
+            seen[d[i:i + length]] = seen.get(d[i:i + length], 0) + 1
+    out = []
+    for d in datas:
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if seen[d[i:i + length]] > 1:
+                gone[i:i + length] = b"\1" * length
+        out.append(bytes(x for x, g in zip(d, gone) if not g).decode(errors="ignore"))
+    return out
+
+
+@pytest.mark.parametrize("length", [128, 240, 400])
+def test_shorter_passages_equal_brute_force(spark, length):
+    """Passages of 51 to 70 words stand in several texts, whole or in part."""
+    pick = random.Random(length)
+    word = lambda: "".join(pick.choices("abcdefghijé", k=pick.randint(2, 8)))
+    planted = [" ".join(word() for _ in range(pick.randint(51, 70))) for _ in range(6)]
+    texts = [None, "", planted[0], planted[0] * 2]
+    for i in range(40):
+        parts = [" ".join(word() for _ in range(pick.randint(5, 60))) for _ in range(3)]
+        if i % 2:
+            cut = pick.choice(planted)
+            parts.insert(1, cut[pick.choice([0, 0, 40]):])
+        texts.append(" ".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in suffixes.strip_repeats(docs, length=length).collect()}
+    assert [got[i] or "" for i in range(len(texts))] == brute_strip(texts, length)
+    with pytest.raises(ValueError, match="length must be"):
+        suffixes.strip_repeats(docs, length=100)

@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -95,6 +96,21 @@ def test_bins_hold_each_piece_once(lengths):
     assert len(fills) < 2 or fills[0] + fills[1] > 100
 
 
+def test_what_is_left_of_two_bins_becomes_one():
+    assert len(pack_lengths([23, 23, 27, 28, 28, 50], 100)) == 2
+
+
+def test_equal_rows_are_dealt_to_many_groups(spark):
+    from incident_engine.llm.packing import pack
+    same = spark.range(4000).selectExpr("cast(null as long) as doc_id", "30L as length")
+    got = pack(same, capacity=100, group_pieces=500)
+    bins = got.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sum(r["n"] for r in bins) == 120_000 and max(r["n"] for r in bins) <= 100
+    assert len(bins) < 1400
+    groups = got.select((F.col("sequence_id") / (1 << 24)).cast("long") % (1 << 24))
+    assert groups.distinct().count() > 4
+
+
 def test_search_swaps_what_best_fit_leaves():
     # best fit takes 3 bins for 6+4, 5+3+2 if it starts badly; the search empties the third
     from incident_engine.llm.packing import Bins
