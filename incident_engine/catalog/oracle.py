@@ -196,6 +196,21 @@ _SELECTS: dict[str, tuple[tuple[str, ...], str]] = {
             order by updated_ts desc, event_id) - 1 as place, count(*) over () as n from chi)
         where place >= n * {q.DEEP_PAGE[0]} // {q.DEEP_PAGE[1]}
           and place < n * {q.DEEP_PAGE[0]} // {q.DEEP_PAGE[1]} + 1000"""),
+    "csv_infer_round_trip": (("la",), """
+        select dr_no::bigint as dr_no, area::bigint as area, premis, status, round(lat, 6) as lat,
+          round(lon, 6) as lon from la"""),
+    "csv_batches_round_trip": (("chi",), """
+        select id, primary_type, (event_id % 3)::bigint as batch_id from chi"""),
+    "side_table_round_trip": (("areas", "rate"), """
+        select areas.area, areas.year, areas.month,
+          round(coalesce(unemployment_rate, 5.0e0), 6) as unemployment_rate, 5.0e0 as rate_without_file
+        from areas left join rate on rate.area = areas.area and rate.year = areas.year
+          and rate.month = areas.month"""),
+    "geojson_round_trip": (("grid",), """
+        select grid_id, round(xmin, 9) as xmin, round(xmax, 9) as xmax, round(ymin, 9) as ymin,
+          round(ymax, 9) as ymax, 5::bigint as points from grid"""),
+    "preview_rows": (("la",), """
+        select least(25, count(*)) as n, least(25, count(distinct dr_no)) as ids from la"""),
     "csv_skip_long": (("la",), """
         select dr_no, area, premis, status from la where dr_no::bigint % 13 <> 0"""),
     "pull_next_mark": (("chi",), f"""

@@ -233,6 +233,62 @@ def csv_skip_long(spark, sf):
     return file_sources.scan_csv_skip_long(spark, f"{folder}/rows").select(*names)
 
 
+@query
+def csv_infer_round_trip(spark, sf):
+    """A table written as CSV with a header, over a former one, and read with inferred types."""
+    path = f"{_run_folder(spark, 'csv')}/la"
+    rows = feed(spark, sf, "la").select("dr_no", "area", "premis", "status", "lat", "lon")
+    for table in (rows.limit(3), rows):
+        file_sinks.write_csv(table, path)
+    read = file_sources.scan_csv(spark, path)
+    return read.select(*as_long("dr_no", "area"), "premis", "status", *rounded(6, "lat", "lon"))
+
+
+@query
+def csv_batches_round_trip(spark, sf):
+    """Micro-batches as CSV without a header, one of them replayed."""
+    path = f"{_run_folder(spark, 'csv')}/rows"
+    rows = feed(spark, sf, "chi").select("id", "primary_type", "event_id")
+    write = file_sinks.csv_batch_writer(path)
+    for batch in (0, 1, 1, 2):
+        write(rows.filter(F.col("event_id") % 3 == batch).drop("event_id"), batch)
+    read = spark.read.schema("id string, primary_type string, batch_id int").csv(path)
+    return read.select("id", "primary_type", *as_long("batch_id"))
+
+
+@query
+def side_table_round_trip(spark, sf):
+    """Rates from an optional file that is there, and from one that is not."""
+    path = f"{_run_folder(spark, 'rate')}/rate"
+    file_sinks.write_csv(_rate(spark, sf).select("month", "AREA", "year", "unemployment_rate"), path)
+    columns = "year int, month int, AREA string, unemployment_rate double"
+    known, none = (file_sources.optional_csv(spark, p, columns) for p in (path, f"{path}-none"))
+    counts = materialize(features.with_calendar(_area_counts(spark, sf)), "area-counts")
+    here = features.with_rate(counts, known).select("AREA", "year", "month", "unemployment_rate")
+    gone = features.with_rate(counts, none).select(
+        "AREA", "year", "month", F.col("unemployment_rate").alias("rate_without_file"))
+    return _area(here.join(gone, ["AREA", "year", "month"])).select(
+        "area", *as_long("year", "month"), *rounded(6, "unemployment_rate", "rate_without_file"))
+
+
+@query
+def geojson_round_trip(spark, sf):
+    """The grid as one GeoJSON document that many tasks write, and back as polygons."""
+    path = f"{_run_folder(spark, 'geojson')}/grid"
+    file_sinks.write_feature_collection(_grid(spark, sf)[1], path, ["grid_id"], part_rows=500)
+    rings = file_sources.scan_geojson(spark, path)
+    return rings.select(F.col("properties")["grid_id"].cast("bigint").alias("grid_id"), *[
+        F.round(F.expr(f"array_{end}(ring.{axis})"), 9).alias(f"{axis}{end}")
+        for axis in "xy" for end in ("min", "max")], F.size("ring").cast("bigint").alias("points"))
+
+
+@query
+def preview_rows(spark, sf):
+    rows = feed(spark, sf, "la").select("dr_no")
+    seen = sets.preview(rows, 25)
+    return seen.join(rows, "dr_no", "left_semi").agg(n_rows(), F.countDistinct("dr_no").alias("ids"))
+
+
 def _half_keyed(spark, sf) -> DataFrame:
     gone = F.col("event_id") % 50 == 0
     df = feed(spark, sf, "chi").withColumn("record", F.col("id"))
@@ -496,19 +552,25 @@ def encode_request(spark, sf):
 # Spatial
 
 
-# Grid and cover of the precincts, made once per session and data directory.
+def _version(spark, sf) -> str:
+    """Files behind the precincts: a table that was written anew has other ones."""
+    return " ".join(f"{name}:{size}:{changed}" for table in feeds.FEEDS["precincts"][0]
+                    for name, size, changed in file_sources.file_states(spark, f"{sf}/{table}.parquet"))
+
+
+# Grid and cover of the precincts, made once per session and version of their tables.
 _GRIDS: dict[tuple[str, str, float], GridSpec] = {}
 
 
 def _spec(spark, sf, step: float = CELL_SIZE) -> GridSpec:
-    key = (spark.sparkContext.applicationId, sf, step)
+    key = (spark.sparkContext.applicationId, _version(spark, sf), step)
     if key not in _GRIDS:
         _GRIDS[key] = spatial.grid_over(feeds.precinct_boundary(spark, sf), step)
     return _GRIDS[key]
 
 
 def _saved(spark, sf, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    folder = hashlib.sha256(sf.encode()).hexdigest()[:16]
+    folder = hashlib.sha256(_version(spark, sf).encode()).hexdigest()[:16]
     return load_or_build(spark, f"{workspace_dir(spark)}/{name}-{folder}", build)
 
 

@@ -12,3 +12,9 @@ def union_all(*frames: DataFrame, allow_missing: bool = False) -> DataFrame:
     if not frames:
         raise ValueError("union_all needs at least one frame")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
+
+
+def preview(df: DataFrame, count: int = 20) -> DataFrame:
+    """Some rows to look at: of as few partitions as hold ``count`` of them, without a shuffle of
+    the rest. Which rows is not defined; for the newest see ``latest_updates``."""
+    return df.limit(count)

@@ -20,22 +20,27 @@ def scan_csv(spark: SparkSession, path: str, schema=None, **options: str) -> Dat
     return reader.csv(path)
 
 
-def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Files under ``path`` (a file, folder or pattern) that Spark would read, through Hadoop."""
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, length and time of change of the files under ``path`` (a file, folder or pattern)
+    that Spark would read, through Hadoop."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: list[str] = []
+    found: list[tuple[str, int, int]] = []
     for top in store.globStatus(pattern) or []:
         root = top.getPath().toString()
         files = store.listFiles(top.getPath(), True)
         while files.hasNext():
-            name = files.next().getPath().toString()
-            below = name[len(root):].split("/")
-            if not any(part[:1] in ("_", ".") for part in below):
-                found.append(name)
+            status = files.next()
+            name = status.getPath().toString()
+            if not any(part[:1] in ("_", ".") for part in name[len(root):].split("/")):
+                found.append((name, status.getLen(), status.getModificationTime()))
     return sorted(found)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    return [name for name, _, _ in file_states(spark, path)]
+
+
 def first_lines(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, str]:
     """First line of each file. One short read per file, as listing them is; no file is scanned."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

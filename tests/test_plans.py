@@ -193,3 +193,16 @@ def test_feeds_keep_points_off_polygon_edges(spark):
     edges = feeds.feed(spark, SMALL, "precincts").select(
         *[micro(c) for c in ("xa", "xb", "xc", "ya", "yb", "yc")])
     assert {tuple(r) for r in edges.distinct().collect()} == {(5, 8, 8, 5, 8, 8)}
+
+
+def test_a_rewritten_table_gets_a_grid_of_its_own(spark, tmp_path):
+    """The shared grid follows the files of its tables, not their path alone."""
+    from incident_engine.catalog import queries
+    for table in ("supplier", "nation"):
+        spark.read.parquet(f"{SMALL}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    before = QUERIES["grid_cells"](spark, str(tmp_path)).count()
+    one = queries._grid(spark, str(tmp_path))[1].count()
+    spark.read.parquet(f"{SMALL}/supplier.parquet").limit(2).write.mode("overwrite").parquet(
+        str(tmp_path / "supplier.parquet"))
+    two = queries._grid(spark, str(tmp_path))[1].count()
+    assert one == before and 0 < two < one
