@@ -146,7 +146,9 @@ def with_cell_index(points: DataFrame, grid: GridSpec, x: str = "lon", y: str =
     box = grid.box(ix, iy)
     strictly = (f"{x} > {box['xmin']} and {x} < {box['xmax']} "
                 f"and {y} > {box['ymin']} and {y} < {box['ymax']}")
-    usable = known_position(x, y) & F.expr(f"{grid.holds(x, y)} and {strictly}")
+    # the cells of the last column and row may reach beyond the extent
+    on_grid = f"{ix} between 0 and {grid.nx - 1} and {iy} between 0 and {grid.ny - 1}"
+    usable = known_position(x, y) & F.expr(f"{on_grid} and {strictly}")
     return points.withColumns({
         "ix": F.when(usable, F.expr(ix)), "iy": F.when(usable, F.expr(iy))})
 

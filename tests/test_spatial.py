@@ -240,3 +240,13 @@ def test_rows_off_the_grid_stay_out_of_the_join(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_last_cells_reach_beyond_the_extent(spark):
+    grid = GridSpec(0.0, 0.0, 0.6, 0.6, 0.25)
+    cells = spark.sql("select ix, iy, ix * 3 + iy as grid_id from "
+                      "(select explode(sequence(0L, 2L)) as ix), (select explode(sequence(0L, 2L)) as iy)")
+    points = spark.createDataFrame([("in", 0.7, 0.7), ("edge", 0.75, 0.7), ("out", 0.8, 0.7),
+                                    ("under", 0.7, -0.1)], "k string, lon double, lat double")
+    got = {r["k"]: r["grid_id"] for r in spatial.points_to_cells(points, cells, grid).collect()}
+    assert got == {"in": 8, "edge": None, "out": None, "under": None}
