@@ -3,22 +3,25 @@
 The k-mers of a text are its runs of five words, each labelled with how often it has occurred
 before. A sketch takes the ``TAKEN`` k-mers with the smallest hashes under one of ``SKETCHES`` hash
 functions and keeps them in text order, so equal sketches mean shared k-mers in the same order.
-Texts with an equal sketch meet in a bucket. Two texts are near if the Jaccard similarity of their
-sets of five-word shingles and the similarity of an edit alignment of their words are both 0.8 or
-more. Classes are the connected components of near pairs; equal texts share a class anyway.
+Texts with an equal sketch meet in a bucket. Two texts are near if their edit similarity is 0.8 or
+more: a banded alignment of their words needs edits of a word each for at most a fifth of the longer
+one. Classes are the connected components of near pairs; equal texts share a class anyway.
 
 No bucket is expanded into all its pairs. A bucket of up to ``SMALL`` texts gives its pairs. In a
-larger one each text is paired with a few leaders, the texts that meet most others over all
-sketches. The texts of all larger buckets are then dealt anew by an exact key: of the shingles of a
-text, rare ones first, each of the first n - ceil(0.8 n) + 1, one of which two near texts share. These
-buckets are gone through in rounds: in each that still holds more than one class, texts outside its
-largest class become leaders, four times as many each round, and meet all texts of other classes
-there, until it holds one class or each of them has met all others. Pairs whose sizes, places of
-the shared shingle or signatures (a bit for each shingle) rule out 0.8 are left out. So no near pair that meets in a bucket stays in two
-classes, and the only near pairs missed are those that share no sketch at all. The price is up to
-one pair for each two texts of a hot group that are in different classes, be they near or not.
-
-Texts of fewer than five words are one shingle; texts without a word equal only themselves. Null
+larger one each text is paired with a few leaders, those of all its buckets that meet most others
+over all sketches. The texts of all larger buckets are then dealt anew by an exact key. Words are
+labelled with how often they have occurred before in their text; two near texts have at least 0.8 of
+the longer one's labelled words in common, so of those of a text, rare ones first, they share one of
+the first n - ceil(0.8 n) + 1. These buckets are gone through in rounds: in each that still holds
+more than one class, texts outside its largest class become leaders, four times as many each round,
+and meet all texts of other classes there, until it holds one class or each of them has met all
+others. Pairs whose sizes, places of the shared word or signatures (a bit for each labelled word)
+rule out 0.8 are left out. So no near pair that meets in a bucket stays in two classes, and the only
+near pairs missed are those that share no sketch at all: with five-word k-mers of Jaccard similarity
+J that is a chance of (1 - J ** TAKEN) ** SKETCHES, 3e-8 at 0.8, 0.005 at 0.53, 0.05 at 0.42. The
+price is up to one comparison for each two texts of a hot group that are in different classes.
+
+Texts of fewer than five words are one k-mer; texts without a word equal only themselves. Null
 texts count as empty. Rows with equal ids are told apart by their text; class ids are the smallest
 doc_id of a class, null ids last.
 """
@@ -38,15 +41,15 @@ from pyspark.sql import functions as F
 from .common import components, materialize, mix, narrow, text_hash, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
-SKETCHES, TAKEN = 16, 3
-#: Texts of a bucket that gives all its pairs, and leaders of a larger one.
+SKETCHES, TAKEN = 16, 2
+#: Texts of a bucket that gives all its pairs; leaders of a larger one, and of a text in such ones.
 SMALL, LEADERS = 6, 3
-#: Slots in which shingles are counted to put rare ones first; any order gives the same classes.
+#: Slots in which words are counted to put rare ones first; any order gives the same classes.
 SLOTS = 1 << 22
-#: 64-bit words of a signature: the bits of a text's hashed shingles.
+#: 64-bit words of a signature: the bits of a text's hashed labelled words.
 SIGNATURE = 16
 _MARKS = [f"m{i}" for i in range(SIGNATURE)]
-#: Texts whose words and shingles a task keeps while it checks pairs.
+#: Texts whose words a task keeps while it checks pairs.
 KEPT_SETS = 128
 
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
@@ -71,26 +74,31 @@ def shingles(ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def labelled(values: np.ndarray) -> np.ndarray:
+    """The values, each made different from the equal ones before it."""
+    n = len(values)
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(n, 1), bool), ranked[1:] != ranked[:-1])))
+    label = np.empty(n, np.uint64)
+    label[order] = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
+    with np.errstate(over="ignore"):
+        return values + label * np.uint64(0xD1B54A32D192ED03)
+
+
 def sketches(grams: np.ndarray) -> np.ndarray:
-    """Order MinHash of one text: SKETCHES signed 64-bit numbers, none without a shingle."""
+    """Order MinHash of one text: SKETCHES signed 64-bit numbers, none without a k-mer."""
     n = len(grams)
     if not n:
         return np.zeros(0, np.int64)
-    order = np.argsort(grams, kind="stable")
-    ranked = grams[order]
-    fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-    starts = np.flatnonzero(fresh)
-    label = np.empty(n, np.uint64)
-    label[order] = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
-    taken = min(TAKEN, n)
+    taken, grams = min(TAKEN, n), labelled(grams)
     with np.errstate(over="ignore"):
-        labelled = grams + label * np.uint64(0xD1B54A32D192ED03)
         out = np.empty(SKETCHES, np.uint64)
         for t in range(SKETCHES):
-            hashes = mix(labelled ^ _SEEDS[t])
+            hashes = mix(grams ^ _SEEDS[t])
             at = np.argpartition(hashes, taken - 1)[:taken] if taken < n else np.arange(n)
             value = np.uint64(t)
-            for x in labelled[np.sort(at)]:
+            for x in grams[np.sort(at)]:
                 value = (value ^ x) * np.uint64(0x9E3779B97F4A7C15)
                 value ^= value >> np.uint64(29)
             out[t] = value
@@ -127,25 +135,25 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
 
 
 def _with_set(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return ids, np.unique(shingles(ids))
+    """Word ids and the set of labelled words, mixed so that any bits of them are even."""
+    return ids, np.sort(mix(labelled(ids)))
 
 
 def _alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
            least: float) -> bool:
-    """``near`` of two texts that come with their sets of shingles."""
-    one, two = a[1], b[1]
-    if min(len(one), len(two)) < least * max(len(one), len(two)):
-        return False
-    both = len(np.intersect1d(one, two, assume_unique=True))
-    if both < least * (len(one) + len(two) - both):
-        return False
+    """``near`` of two texts that come with their labelled words. An edit changes one labelled word
+    at most, so an alignment is spared where too few are shared."""
     longest = max(len(a[0]), len(b[0]))
     most = int((1 - least) * longest + 1e-9)
+    if longest - min(len(a[0]), len(b[0])) > most:
+        return False
+    if longest - len(np.intersect1d(a[1], b[1], assume_unique=True)) > most:
+        return False
     return edit_distance(a[0], b[0], most) <= most
 
 
 def near(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Do two sequences of word ids lie within ``least`` on shingles and on the alignment?"""
+    """Is the edit similarity of two sequences of word ids ``least`` or more?"""
     return _alike(_with_set(a), _with_set(b), least)
 
 
@@ -169,11 +177,11 @@ def _pairs(entries: DataFrame, keys: list[str]) -> DataFrame:
     large = entries.filter(F.col("n") > SMALL)
     best = large.groupBy(*keys, F.pmod(F.xxhash64("id"), F.lit(LEADERS)).alias("c")).agg(
         F.max(F.struct("popular", "id")).alias("best")).groupBy(*keys).agg(
-        F.collect_list("best.id").alias("leaders"))
+        F.collect_list(F.struct("c", "best")).alias("leaders"))
     best = materialize(best, "near-leaders")
     star = large.select(*keys, "id").join(best, keys).select(
-        F.col("id"), F.explode("leaders").alias("lead"))
-    star = star.filter(F.col("id") != F.col("lead")).select(
+        F.col("id"), F.explode("leaders").alias("l")).filter(F.col("id") != F.col("l.best.id"))
+    star = star.groupBy("id", "l.c").agg(F.max("l.best")["id"].alias("lead")).select(
         F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     return pairs.select("p.a", "p.b").union(star)
 
@@ -199,8 +207,8 @@ def _candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _prefixes(words: DataFrame, least: float) -> DataFrame:
     """Buckets (bucket, id, place, size and the signature) by prefix filter. Two of ``words`` (id, words) that are
-    near share one of their first ``size`` - ceil(``least`` * ``size``) + 1 shingles, if all texts
-    have theirs in one order; here rare ones come first, by counts in hashed slots."""
+    near share one of their first ``size`` - ceil(``least`` * ``size``) + 1 labelled words, if all
+    texts have theirs in one order; here rare ones come first, by counts in hashed slots."""
     def sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         return (_with_set(np.frombuffer(w, "<u4").astype(np.uint64))[1]
                 for w in batch["words"].to_pylist())
@@ -208,8 +216,8 @@ def _prefixes(words: DataFrame, least: float) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for grams in sets(batch):
-                np.add.at(counts, grams % np.uint64(SLOTS), 1)
+            for bag in sets(batch):
+                np.add.at(counts, bag % np.uint64(SLOTS), 1)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["slot", "n"])
 
@@ -221,15 +229,15 @@ def _prefixes(words: DataFrame, least: float) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for id_, grams in zip(batch["id"].to_pylist(), sets(batch), strict=True):
-                n, seen = len(grams), shared.value[grams % np.uint64(SLOTS)]
-                order = np.lexsort((grams, seen))[:n - int(np.ceil(least * n - 1e-9)) + 1]
-                place = np.flatnonzero(seen[order] > 1)  # a shingle counted once has no partner
+            for id_, bag in zip(batch["id"].to_pylist(), sets(batch), strict=True):
+                n, seen = len(bag), shared.value[bag % np.uint64(SLOTS)]
+                order = np.lexsort((bag, seen))[:n - int(np.ceil(least * n - 1e-9)) + 1]
+                place = np.flatnonzero(seen[order] > 1)  # a word counted once has no partner
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[order[place]].view(np.int64)),
+                    [pa.array(bag[order[place]].view(np.int64)),
                      pa.array(np.full(len(place), id_, np.int64)), pa.array(place),
                      pa.array(np.full(len(place), n, np.int64))]
-                    + [pa.array(np.full(len(place), m, np.int64)) for m in signature(grams)],
+                    + [pa.array(np.full(len(place), m, np.int64)) for m in signature(bag)],
                     names=["bucket", "id", "place", "size", *_MARKS])
 
     marks = ", ".join(f"{m} long" for m in _MARKS)
@@ -239,25 +247,24 @@ def _prefixes(words: DataFrame, least: float) -> DataFrame:
     return materialize(found.join(several.select("bucket").hint("merge"), "bucket"), "near-shared")
 
 
-def signature(grams: np.ndarray) -> np.ndarray:
-    """One bit for each shingle, at a hashed place; as signed 64-bit numbers."""
+def signature(bag: np.ndarray) -> np.ndarray:
+    """One bit for each labelled word, at a hashed place; as signed 64-bit numbers."""
     bits = np.zeros(SIGNATURE * 64, np.uint8)
-    bits[mix(grams) % np.uint64(len(bits))] = 1
+    bits[mix(bag) % np.uint64(len(bits))] = 1
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
 def _may(least: float):
     """May the texts of two entries of a prefix bucket be near, by sizes, by what is left of both
-    behind the shared shingle, and by their signatures? A bit that one has and the other lacks is a
-    shingle or more that the other lacks, so each such bit is one shared shingle less. True in the
-    bucket of the first one that two near texts share."""
+    behind the shared word, and by their signatures? A bit that one has and the other lacks is a
+    labelled word or more that the other lacks, so each such bit is one shared word less. True in
+    the bucket of the first one that two near texts share."""
     one, two = F.col("size"), F.col("lead_size")
     lack = lambda a, b: sum((F.bit_count(F.col(f"{a}{m}").bitwiseAND(
         F.bitwise_not(F.col(f"{b}{m}")))) for m in _MARKS), F.lit(0))
     left = F.least(one - F.col("place"), two - F.col("lead_place"),
                    one - lack("", "lead_"), two - lack("lead_", ""))
-    return (F.least(one, two) >= least * F.greatest(one, two) - 1e-6) & (
-        left >= least / (1 + least) * (one + two) - 1e-6)
+    return left >= least * F.greatest(one, two) - 1e-6
 
 
 def _bridges(rest: DataFrame, roots: DataFrame, met: DataFrame | None, step: int,
@@ -313,7 +320,7 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
         .join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a leader's pairs come in a row, so its set is built once
+        # a leader's pairs come in a row, so its words are labelled once
         known = lru_cache(KEPT_SETS)(
             lambda words: _with_set(np.frombuffer(words, "<u4").astype(np.uint64)))
         for batch in batches:

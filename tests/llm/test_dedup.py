@@ -179,24 +179,24 @@ def test_chains_in_large_buckets_stay_whole(spark, monkeypatch):
 
 def test_near_pairs_of_a_hot_template_match_brute_force(spark):
     """Texts from one template that resemble each other at less than 0.8, each with a partner at
-    0.80 to 0.85: buckets of one and of two sketches are large, and some partners share no third."""
+    0.86: most buckets are large, and the partners' shingles agree at less than 0.7."""
     rng = random.Random(7)
     base = [f"w{rng.randint(0, 10**9)}" for _ in range(220)]
 
-    def edited(words, places):
+    def edited(words, runs):
         out = words[:]
-        for i in places:
-            out[i] = f"v{rng.randint(0, 10**9)}"
+        for start in runs:
+            out[start:start + 6] = [f"v{rng.randint(0, 10**9)}" for _ in range(6)]
         return out
 
     texts = []
     for _ in range(200):
-        places = rng.sample(range(3, 217, 6), 8)
-        one = edited(base, places[:4])
-        texts += [one, edited(one, places[4:])]
+        runs = rng.sample(range(0, 214, 12), 14)
+        one = edited(base, runs[:9])
+        texts += [one, edited(one, runs[9:])]
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     words = [near_dups.word_ids(t) for _, t in rows]
-    sets = [set(near_dups.shingles(w).tolist()) for w in words]
+    bags = [set(w.tolist()) for w in words]
     root = list(range(len(rows)))
 
     def find(x):
@@ -206,15 +206,28 @@ def test_near_pairs_of_a_hot_template_match_brute_force(spark):
 
     for a in range(len(rows)):
         for b in range(a):
-            both = len(sets[a] & sets[b])
-            if both >= 0.79 * (len(sets[a]) + len(sets[b]) - both) and near_dups.near(words[a], words[b]):
+            if len(bags[a] & bags[b]) >= 170 and near_dups.near(words[a], words[b]):
                 root[max(find(a), find(b))] = min(find(a), find(b))
     assert sum(find(i) == i for i in root) > 100
+    assert max(jaccard(rows[i][1], rows[i + 1][1]) for i in range(0, 400, 2)) < 0.7
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in near_dups.near_classes(docs).collect()}
     assert got == {i: find(i) for i in range(len(rows))}
 
 
+def test_near_is_the_edit_similarity_of_words():
+    """Bounds are never above the distance of a plain alignment, also with repeated words."""
+    rng = random.Random(9)
+    for _ in range(300):
+        a = rng.choices(range(rng.choice([3, 30])), k=rng.randint(0, 40))
+        b = [x for x in a if rng.random() > 0.1]
+        for _ in range(rng.randint(0, 4)):
+            b.insert(rng.randint(0, len(b)), rng.randint(0, 30))
+        one, two = (np.array(x, np.uint64) for x in (a, b))
+        longest = max(len(a), len(b))
+        assert near_dups.near(one, two) == (near_dups.edit_distance(one, two, longest) <= 0.2 * longest)
+
+
 def test_near_classes_of_odd_rows(odd, empty):
     got = near_dups.near_classes(odd).collect()
     assert len(got) == odd.count()
@@ -259,7 +272,7 @@ def test_toxic_rows_go_by_id_and_text(spark, monkeypatch):
 
 
 def test_signatures_rule_out_no_near_pair():
-    """The bound on shared shingles by signatures is never below what two texts share."""
+    """The bound on shared words by signatures is never below what two texts share."""
     rng = np.random.default_rng(5)
     for _ in range(200):
         n = int(rng.integers(1, 900))
