@@ -49,6 +49,8 @@ SLOTS = 1 << 22
 #: 64-bit words of a signature: the bits of a text's hashed labelled words.
 SIGNATURE = 16
 _MARKS = [f"m{i}" for i in range(SIGNATURE)]
+#: Words of a run; the runs two texts share bound their alignment.
+RUN = 3
 #: Texts whose words a task keeps while it checks pairs.
 KEPT_SETS = 128
 
@@ -139,22 +141,33 @@ def _with_set(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.sort(mix(labelled(ids)))
 
 
-def _alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
-           least: float) -> bool:
-    """``near`` of two texts that come with their labelled words. An edit changes one labelled word
-    at most, so an alignment is spared where too few are shared."""
+def _with_runs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_with_set`` and the set of labelled runs of ``RUN`` words."""
+    runs = np.zeros(max(0, len(ids) - RUN + 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(RUN):
+            runs = mix(runs * np.uint64(0x9E3779B97F4A7C15) + ids[i:i + len(runs)])
+    return *_with_set(ids), np.sort(labelled(runs))
+
+
+def _alike(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], least: float) -> bool:
+    """``near`` of two texts that come with their labelled words and runs. An edit changes at most
+    one labelled word and ``RUN`` runs, so an alignment is spared where too few are shared."""
     longest = max(len(a[0]), len(b[0]))
     most = int((1 - least) * longest + 1e-9)
     if longest - min(len(a[0]), len(b[0])) > most:
         return False
     if longest - len(np.intersect1d(a[1], b[1], assume_unique=True)) > most:
         return False
+    wanted = longest - RUN + 1 - RUN * most
+    if wanted > 0 and len(np.intersect1d(a[2], b[2], assume_unique=True)) < wanted:
+        return False
     return edit_distance(a[0], b[0], most) <= most
 
 
 def near(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Is the edit similarity of two sequences of word ids ``least`` or more?"""
-    return _alike(_with_set(a), _with_set(b), least)
+    return _alike(_with_runs(a), _with_runs(b), least)
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
@@ -322,7 +335,7 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a leader's pairs come in a row, so its words are labelled once
         known = lru_cache(KEPT_SETS)(
-            lambda words: _with_set(np.frombuffer(words, "<u4").astype(np.uint64)))
+            lambda words: _with_runs(np.frombuffer(words, "<u4").astype(np.uint64)))
         for batch in batches:
             keep = [_alike(known(a), known(b), least) for a, b in zip(
                 batch["wa"].to_pylist(), batch["wb"].to_pylist(), strict=True)]
