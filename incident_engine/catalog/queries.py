@@ -276,7 +276,7 @@ def geojson_round_trip(spark, sf):
     """The grid as one GeoJSON document that many tasks write, and back as polygons."""
     path = f"{_run_folder(spark, 'geojson')}/grid"
     file_sinks.write_feature_collection(_grid(spark, sf)[1], path, ["grid_id"], part_rows=500)
-    rings = file_sources.scan_geojson(spark, path)
+    rings = file_sources.scan_geojson(spark, path, collection_lines=True)
     return rings.select(F.col("properties")["grid_id"].cast("bigint").alias("grid_id"), *[
         F.round(F.expr(f"array_{end}(ring.{axis})"), 9).alias(f"{axis}{end}")
         for axis in "xy" for end in ("min", "max")], F.size("ring").cast("bigint").alias("points"))

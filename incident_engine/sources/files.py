@@ -132,14 +132,29 @@ _COLLECTION = f"features array<struct<properties: map<string, string>, geometry:
 _POLYGON = "array<array<array<double>>>"
 
 
-def scan_geojson(spark: SparkSession, path: str, feature_lines: bool = False) -> DataFrame:
+def scan_geojson(spark: SparkSession, path: str, feature_lines: bool = False,
+                 collection_lines: bool = False) -> DataFrame:
     """Boundary polygons as rings: ``polygon_id, part_no, ring_no, ring, properties``.
 
     Reads one FeatureCollection per file, or with ``feature_lines`` one feature
     per line, which Spark can split; a line given twice is one feature. Rings come
     out closed. Ids tell apart the features of all files.
+
+    With ``collection_lines`` each file is a FeatureCollection laid out as
+    ``write_feature_collection`` writes it: a head line, one feature per line after a
+    comma, and a tail line. Spark splits such files by lines too, so that no task reads a
+    whole document; ids come from the file and the feature's line.
     """
-    if feature_lines:
+    if collection_lines:
+        line = F.regexp_replace("value", r"^\s*,", "")
+        features = (
+            spark.read.text(path)
+            .select(F.col("_metadata.file_path").alias("file"), line.alias("line"))
+            .select("file", "line", F.from_json("line", _FEATURE_LINE).alias("feature"))
+            .where(F.col("feature.geometry").isNotNull())
+            .select(F.xxhash64("file", "line").alias("polygon_id"), "feature.*")
+        )
+    elif feature_lines:
         features = spark.read.schema(_FEATURE_LINE).json(path)
         features = features.withColumn(
             "polygon_id", F.xxhash64(F.to_json("properties"), "geometry.coordinates")) \

@@ -188,3 +188,20 @@ def test_feature_collection_in_parts(spark, tmp_path, copy):
     assert [f["properties"]["grid_id"] for f in document["features"]] == list(range(700))
     if not copy:
         assert len(parts) >= 6 and max(t.count("\n") for t in texts) < 300
+
+
+def test_feature_collection_is_read_by_many_tasks(spark, tmp_path):
+    """A written FeatureCollection is split by lines; no task reads the whole document."""
+    out = str(tmp_path / "big")
+    sinks.write_feature_collection(cells(spark, 3000), out, ["grid_id"], part_rows=500)
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        lines = files.scan_geojson(spark, out, collection_lines=True)
+        assert lines.rdd.getNumPartitions() > 1
+        got = lines.select(F.col("properties")["grid_id"], "part_no", "ring_no", "ring").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    whole = files.scan_geojson(spark, out).select(
+        F.col("properties")["grid_id"], "part_no", "ring_no", "ring").collect()
+    assert len(got) == 3000 and sorted(got) == sorted(whole)
