@@ -324,6 +324,23 @@ def _verified(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     return joined.select("a", "b", "wa", "wb").mapInArrow(check, "a long, b long")
 
 
+def _merged(roots: DataFrame, added: DataFrame) -> DataFrame:
+    """``roots`` (id, root) with the links ``added`` (a, b) joined in, as ``components`` of all
+    links would give them. Classes meet through the roots of the new links' ends, so the links
+    found before are not gone through again."""
+    ends = added.select(F.col("a").alias("id")).union(added.select(F.col("b").alias("id"))).distinct()
+    placed = ends.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    every = roots.select("id", "root").unionByName(placed).distinct()
+    hops = added.join(placed.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a") \
+        .join(placed.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b") \
+        .where("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    if hops.isEmpty():
+        return every
+    up = components(hops, "near").select(F.col("id").alias("root"), F.col("root").alias("up"))
+    return materialize(every.join(up, "root", "left").select(
+        "id", F.coalesce("up", "root").alias("root")), "near-roots")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  least: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id, n_links (near texts its text was found linked
@@ -363,7 +380,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataF
         added = materialize(_verified(fresh, words, least), "near-links")
         if not added.isEmpty():
             links = links.union(added)
-            roots = components(links, "near")
+            roots = _merged(roots, added)
     degree = links.select(F.col("a").alias("id")).union(links.select("b")) \
         .groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     named = ids.join(roots, "id", "left").select(

@@ -307,3 +307,35 @@ def test_shorter_passages_equal_brute_force(spark, length):
     assert [got[i] or "" for i in range(len(texts))] == brute_strip(texts, length)
     with pytest.raises(ValueError, match="length must be"):
         suffixes.strip_repeats(docs, length=100)
+
+
+def test_rounds_merge_classes_without_going_through_old_links(spark, monkeypatch):
+    """Links found in the rounds are joined in through the roots of their ends: after the first
+    call, components never gets the links found before again, and classes still form."""
+    rng = random.Random(7)
+    base = [f"w{rng.randint(0, 10**9)}" for _ in range(220)]
+
+    def edited(words, places):
+        out = words[:]
+        for i in places:
+            out[i] = f"v{rng.randint(0, 10**9)}"
+        return out
+
+    texts = []
+    for _ in range(200):
+        places = rng.sample(range(3, 217, 6), 8)
+        one = edited(base, places[:4])
+        texts += [one, edited(one, places[4:])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    given, plain = [], near_dups.components
+
+    def counted(edges, name, *more):
+        given.append(edges.count())
+        return plain(edges, name, *more)
+
+    monkeypatch.setattr(near_dups, "components", counted)
+    got = {r.doc_id: r.class_id for r in near_dups.near_classes(docs).collect()}
+    assert len(given) >= 2
+    assert all(n < given[0] for n in given[1:])
+    assert len(set(got.values())) < len(texts)
