@@ -27,9 +27,14 @@ def collect_changes(table: DataFrame, update_field: str, key: str, state: str, f
 
 
 def worklist(forces: DataFrame, neighbourhoods: DataFrame, months: list[str]) -> DataFrame:
-    """Every neighbourhood of every force for every month of a given list."""
+    """Every neighbourhood of every force for every month of a given list.
+
+    The join leaves the rows placed by force alone, and a force has many neighbourhoods times the
+    months: the rows are spread by all three columns, so that no task of a later step holds a force.
+    """
     each = F.explode(F.array(*[F.lit(m) for m in months]))
-    return forces.join(neighbourhoods, "force").select("force", "neighbourhood", each.alias("month"))
+    return forces.join(neighbourhoods, "force").select("force", "neighbourhood", each.alias("month")) \
+        .repartition("force", "neighbourhood", "month")
 
 
 def requests(work: DataFrame, polygons: DataFrame) -> DataFrame:

@@ -27,6 +27,26 @@ def test_worklist(spark):
         (f, n, m) for f, n in [("f", "1"), ("f", "2"), ("g", "1")] for m in ["2024-01", "2024-02"])
 
 
+def test_worklist_spreads_the_months_of_a_force(spark):
+    """One force with many neighbourhoods: its rows must not meet in one task of the next step."""
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        forces = spark.createDataFrame([("f",)], "force string")
+        hoods = spark.createDataFrame([("f", str(n)) for n in range(64)], "force string, neighbourhood string")
+        months = [f"2024-0{m}" for m in range(1, 5)]
+        chosen = collect.worklist(forces, hoods, months).select("force", "neighbourhood", "month").distinct()
+        sizes = chosen.rdd.glom().map(len).collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 256
+    assert max(sizes) < 256
+
+
 def test_no_request_for_an_empty_polygon(spark):
     work = spark.createDataFrame([("f", "1", "m"), ("f", "2", "m")], "force string, neighbourhood string, month string")
     polygons = spark.createDataFrame([("f", "1", ""), ("f", "2", "1,2:1,2")],
